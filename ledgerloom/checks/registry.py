@@ -127,7 +127,10 @@ def scalar_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         sample.table(spark, sf_dir, "lineitem")
         .select(raw.alias("raw"))
-        .select(fn.dmy_date("raw").alias("day"), fn.dmy_date_strict("raw").alias("strict_day"))
+        .select(
+            fn.dmy_date(F.col("raw")).alias("day"),
+            fn.dmy_date_strict(F.col("raw")).alias("strict_day"),
+        )
         .groupBy("day")
         .agg(F.count(F.lit(1)).alias("row_count"), F.count("strict_day").alias("strict_rows"))
     )

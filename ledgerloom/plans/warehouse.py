@@ -12,7 +12,7 @@ from ledgerloom.plans import marts, star
 from ledgerloom.plans.names import COLUMNS, VIEWS
 from ledgerloom.sources.delimited import read_delimited
 from ledgerloom.sources.layouts import CANDIDATES, ELECTORATE, EXPENSES, Layout
-from ledgerloom.sources.tables import create_database, register_view, save_table, store
+from ledgerloom.sources.tables import create_database, register_view, save_table, save_view, store
 
 GOLD = ["dim_candidate", "dim_state", "dim_category", "dim_date", "fact_expense", "flat_mart"]
 
@@ -125,3 +125,11 @@ class Warehouse:
         for name, view in VIEWS.items():
             register_view(getattr(self, name), view, COLUMNS)
         return list(VIEWS.values())
+
+    def publish(self, database: str = "default") -> list[str]:
+        """The saved tables as catalog views under their Portuguese names, without a second copy."""
+        views = []
+        for name in self.gold():
+            views.append(f"`{database}`.`{VIEWS[name]}`")
+            save_view(self.spark, f"`{self.database}`.`{name}`", views[-1], COLUMNS)
+        return views

@@ -27,19 +27,24 @@ def read_delimited(
 
     Files stay splittable (no multi-line records), so a large file is read by
     many tasks. With ``headers`` (all header names, in file order) no job is
-    run to look at the first line; each file's header is still checked against
-    them, so a file with other columns fails instead of shifting values.
+    run to look at the first line. Either way the header of every file is
+    checked, so a file with other columns fails instead of shifting values.
 
     ``escape`` is the quote itself, so ``"A ""q"" x"`` reads as ``A "q" x``.
     Pass a backslash to get Spark's default, which leaves doubled quotes as
     they are.
     """
     reader = spark.read.options(
-        header=True, sep=separator, quote=quote, escape=escape, encoding=encoding
+        header=True,
+        enforceSchema=False,
+        sep=separator,
+        quote=quote,
+        escape=escape,
+        encoding=encoding,
     )
     if headers is not None:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in headers])
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     return reader.csv(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +56,14 @@ def save_table(df: DataFrame, database: str, table: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def save_view(spark: SparkSession, source: str, view: str, columns: Mapping[str, str]) -> None:
+    """A catalog view of the table ``source`` with other column names (``{ours: shown}``)."""
+    shown = ", ".join(
+        f"`{name}` AS `{columns.get(name, name)}`" for name in spark.table(source).columns
+    )
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {shown} FROM {source}")
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """Saved tables of a database. Temporary views, which Spark lists as well, are left out."""
     return (
@@ -65,12 +73,6 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     )
 
 
-def register_view(
-    df: DataFrame, view: str, columns: Mapping[str, str] | Sequence[str] | None = None
-) -> None:
+def register_view(df: DataFrame, view: str, columns: Mapping[str, str] | None = None) -> None:
     """Give a frame a name for SQL, with other column names if asked (``{ours: shown}``)."""
-    if isinstance(columns, Mapping):
-        df = df.withColumnsRenamed({name: columns[name] for name in df.columns if name in columns})
-    elif columns is not None:
-        df = df.select(*columns)
-    df.createOrReplaceTempView(view)
+    df.withColumnsRenamed(dict(columns or {})).createOrReplaceTempView(view)

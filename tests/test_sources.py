@@ -1,0 +1,113 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.sources.delimited import read_delimited, write_delimited
+from ledgerloom.sources.literals import with_member
+from ledgerloom.sources.tables import (
+    create_database,
+    fresh_folder,
+    list_tables,
+    register_view,
+    save_table,
+    shared_folder,
+    store,
+)
+
+LINES = [
+    '"A";"B";"C"',
+    '"1";"";"São Paulo"',
+    '2;;"a;b"',
+    '"3";"A ""q"" x";" spaces "',
+]
+
+
+@pytest.fixture
+def extract(tmp_path):
+    path = tmp_path / "extract.csv"
+    path.write_bytes("\n".join(LINES).encode("iso-8859-1"))
+    return str(path)
+
+
+def rows(df):
+    return [tuple(row) for row in df.orderBy("A").collect()]
+
+
+EXPECTED = [("1", None, "São Paulo"), ("2", None, "a;b"), ("3", 'A "q" x', " spaces ")]
+
+
+def test_read(spark, extract):
+    df = read_delimited(spark, extract)
+    assert set(dict(df.dtypes).values()) == {"string"}
+    assert rows(df) == EXPECTED
+
+
+def test_known_headers_save_the_look_at_the_file_and_are_checked(spark, extract):
+    assert rows(read_delimited(spark, extract, headers=["A", "B", "C"])) == EXPECTED
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_delimited(spark, extract, headers=["A", "C", "B"]).collect()
+
+
+def test_files_with_other_columns_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A;B\n" + "1;2\n" * 100)
+    (tmp_path / "b.csv").write_text("B;A\n3;4\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_doubled_quotes_stay_with_the_backslash_escape(spark, extract):
+    assert rows(read_delimited(spark, extract, escape="\\"))[2][1] != 'A "q" x'
+
+
+def test_wrong_encoding_shows(spark, extract):
+    assert rows(read_delimited(spark, extract, encoding="UTF-8"))[0][2] != "São Paulo"
+
+
+def test_round_trip(spark, tmp_path):
+    values = [("1", ' "x"; y ', "É\\"), ("2", None, "a\tb"), ("3", ";;", '"')]
+    df = spark.createDataFrame(values, "A string, B string, C string")
+    write_delimited(df, str(tmp_path / "out"))
+    assert rows(read_delimited(spark, str(tmp_path / "out"))) == values
+
+
+def test_large_text_files_are_split(spark, tmp_path):
+    path = str(tmp_path / "big")
+    write_delimited(spark.range(0, 400_000, 1, 1).select(F.col("id").cast("string")), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        df = read_delimited(spark, path)
+        parts = df.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 4
+        assert df.distinct().count() == 400_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_with_member_adds_once(spark):
+    members = spark.createDataFrame([(1, "a")], "id bigint, name string")
+    for _ in range(2):
+        df = with_member(members, {"id": -1})
+        assert sorted(map(tuple, df.collect())) == [(-1, None), (1, "a")]
+
+
+def test_store_keeps_rows_and_filters_by_value(spark):
+    df = spark.range(1000).withColumn("v", F.col("id") * 2)
+    stored = store(df, fresh_folder(spark, "t"), find_by="id")
+    assert stored.count() == 1000
+    assert stored.where("id = 77").first()["v"] == 154
+    assert "FileScan" in stored._jdf.queryExecution().toString()
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_saved_tables_and_views(spark):
+    folder = fresh_folder(spark, "db")
+    create_database(spark, "sinks", folder)
+    for n in (3, 5):  # the second save replaces the first
+        save_table(spark.range(n).toDF("k"), "sinks", "numbers")
+    assert spark.table("sinks.numbers").count() == 5
+    register_view(spark.range(2).toDF("k"), "two", {"k": "K2"})
+    assert spark.sql("SELECT sum(K2) FROM two").first()[0] == 1
+    assert [r["table_name"] for r in list_tables(spark, "sinks").collect()] == ["numbers"]
