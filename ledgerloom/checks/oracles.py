@@ -298,6 +298,8 @@ def build() -> dict[str, str]:
         "dim_category": _star("SELECT * FROM categories"),
         "dim_date": _star("SELECT * FROM dates"),
         "fact_expense": _star("SELECT * FROM fact"),
+        "fact_by_lookups": _star("SELECT * FROM fact"),
+        "flat_from_fact": _star("SELECT * FROM flat"),
         "state_mart": _star(
             f"""SELECT state_key, state, total_voters, {_TOTAL} AS total_expenses
                 FROM fact LEFT JOIN states USING (state_key) WHERE state <> 'BR'

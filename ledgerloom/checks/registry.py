@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom import functions as fn
 from ledgerloom.operators import quality, ranking
 from ledgerloom.operators.standardize import standardize
-from ledgerloom.plans import questions
+from ledgerloom.plans import marts, questions, star
 from ledgerloom.plans.warehouse import GOLD, Warehouse
 from ledgerloom.sources import sample
 from ledgerloom.sources.delimited import read_delimited, write_delimited
@@ -290,6 +290,18 @@ def fact_expense(w: Warehouse) -> DataFrame:
     return w.fact_expense
 
 
+@on_warehouse
+def fact_by_lookups(w: Warehouse) -> DataFrame:
+    """The fact joined from expenses and dimensions, instead of cut out of the flat mart."""
+    return star.expense_fact(w.silver_expenses, *w.dimensions)
+
+
+@on_warehouse
+def flat_from_fact(w: Warehouse) -> DataFrame:
+    """The flat mart joined from the fact and its dimensions by key."""
+    return marts.flat_mart(w.fact_expense, *w.dimensions)
+
+
 @on_warehouse
 def state_mart(w: Warehouse) -> DataFrame:
     return w.state_mart

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,45 +9,32 @@ from pyspark.sql import functions as F
 
 from ledgerloom.sources.tables import fresh_folder, store
 
-ROWS_PER_TASK = 2_000_000
-
 # monotonically_increasing_id keeps the partition number above this many bits
 # and the position within the partition below.
 _POSITION_BITS = 33
 
 
 def dense_key(
-    members: DataFrame, order: Sequence[str], key: str, *, rows_per_task: int = ROWS_PER_TASK
+    members: DataFrame, order: Sequence[str], key: str, *, ranges: int | None = None
 ) -> DataFrame:
     """Number distinct rows in the order of ``order`` (ascending, NULL first).
 
     Gives what ``row_number()`` over one window gives, without moving all
     members into one task: the rows are cut into sorted ranges, numbered inside
     each range, and each range starts after the rows of the ranges before it.
+    Spark merges small ranges, so a short list becomes one; ``ranges`` sets the
+    number instead.
 
-    ``order`` must identify a row. The members are stored first, and the cut
-    rows again, because a range cut depends on a sample: read twice, it must be
-    the same cut.
+    ``order`` must identify a row. The cut rows are stored, because a range cut
+    depends on a sample: read twice, it must be the same cut.
     """
-    spark = members.sparkSession
-    members = store(members, fresh_folder(spark, f"{key}-members"))
-    ranges = max(1, math.ceil(members.count() / rows_per_task))
-
-    if ranges == 1:
-        numbered = (
-            members.coalesce(1)
-            .sortWithinPartitions(*order)
-            .withColumn(key, F.monotonically_increasing_id() + 1)
-        )
-        return numbered.select(key, *members.columns)
-
-    place = F.monotonically_increasing_id()
+    spread = [ranges, *order] if ranges else order
     cut = store(
-        members.repartitionByRange(ranges, *order)
+        members.repartitionByRange(*spread)
         .sortWithinPartitions(*order)
-        .withColumn("__place", place)
+        .withColumn("__place", F.monotonically_increasing_id())
         .withColumn("__range", F.shiftright("__place", _POSITION_BITS)),
-        fresh_folder(spark, f"{key}-ranges"),
+        fresh_folder(members.sparkSession, key),
     )
     # One row per range, so the running sum and the broadcast are small by construction.
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.operators.lookup import BROADCAST_BYTES
 from ledgerloom.operators.standardize import standardize
 from ledgerloom.plans import marts, star
 from ledgerloom.plans.names import COLUMNS, VIEWS
@@ -26,6 +27,8 @@ class Warehouse:
 
     ``extracts`` gives the path of each extract under the names ``candidates``,
     ``expenses`` and ``electorate``. ``folder`` must be reachable by all executors.
+    ``broadcast_bytes`` is the size up to which a dimension is sent to every
+    executor; larger ones are joined by shuffle.
     """
 
     def __init__(
@@ -34,11 +37,14 @@ class Warehouse:
         extracts: Mapping[str, str],
         folder: str,
         database: str = "spending",
+        *,
+        broadcast_bytes: int = BROADCAST_BYTES,
     ):
         self.spark = spark
         self.extracts = dict(extracts)
         self.folder = folder.rstrip("/")
         self.database = database
+        self.broadcast_bytes = broadcast_bytes
         create_database(spark, database, f"{self.folder}/{database}")
 
     # Bronze: text as it comes.
@@ -99,17 +105,20 @@ class Warehouse:
         return self._saved("dim_date", star.date_dimension(self.silver_expenses))
 
     @cached_property
-    def _dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    def dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         return self.dim_candidate, self.dim_state, self.dim_category, self.dim_date
 
     @cached_property
-    def fact_expense(self) -> DataFrame:
-        fact = star.expense_fact(self.silver_expenses, *self._dimensions)
-        return self._saved("fact_expense", fact)
+    def flat_mart(self) -> DataFrame:
+        flat = marts.flat_from_expenses(
+            self.silver_expenses, *self.dimensions, broadcast_bytes=self.broadcast_bytes
+        )
+        return self._saved("flat_mart", flat)
 
     @cached_property
-    def flat_mart(self) -> DataFrame:
-        return self._saved("flat_mart", marts.flat_mart(self.fact_expense, *self._dimensions))
+    def fact_expense(self) -> DataFrame:
+        """Six columns of the flat mart, so no dimension is joined a second time."""
+        return self._saved("fact_expense", self.flat_mart.select(*marts.FACT_COLUMNS))
 
     @property
     def state_mart(self) -> DataFrame:

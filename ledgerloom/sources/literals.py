@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Keys and label of the unknown members.
@@ -25,14 +26,23 @@ DATE_SCHEMA = T.StructType(
 )
 
 
+def literal_row(spark: SparkSession, values: Mapping[str, Any], schema: T.StructType) -> DataFrame:
+    """One row with the given values; columns without a value are NULL.
+
+    The row is made of literals on the JVM side: a local Python list would
+    start Python workers wherever the row is used.
+    """
+    columns = (F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema)
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 def with_member(
     members: DataFrame, values: Mapping[str, Any], schema: T.StructType | None = None
 ) -> DataFrame:
-    """``members`` and one more row; columns without a value are NULL.
+    """``members`` and one more row, of the same schema unless one is given.
 
-    The row takes the schema of ``members`` unless one is given. The result is
-    a new frame, so calling this again on ``members`` adds the row once, not twice.
+    The result is a new frame, so calling this again on ``members`` adds the row
+    once, not twice.
     """
-    schema = schema or members.schema
-    row = tuple(values.get(field.name) for field in schema)
-    return members.unionByName(members.sparkSession.createDataFrame([row], schema))
+    row = literal_row(members.sparkSession, values, schema or members.schema)
+    return members.unionByName(row)

@@ -57,9 +57,9 @@ def categories(spark):
     return df.distinct()
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 600, 37])
-def test_dense_key_equals_row_number(spark, categories, rows_per_task):
-    found = dense_key(categories, ["c", "d"], "k", rows_per_task=rows_per_task)
+@pytest.mark.parametrize("ranges", [None, 1, 7, 100])
+def test_dense_key_equals_row_number(spark, categories, ranges):
+    found = dense_key(categories, ["c", "d"], "k", ranges=ranges)
     expected = categories.select(
         F.row_number().over(Window.orderBy("c", "d")).cast("bigint").alias("k"), "c", "d"
     )
@@ -74,7 +74,7 @@ def test_dense_key_of_nothing_and_null_first(spark):
 
 
 def test_dense_key_has_no_single_task_window_over_members(spark, categories):
-    plan = dense_key(categories, ["c", "d"], "k", rows_per_task=37)._jdf.queryExecution()
+    plan = dense_key(categories, ["c", "d"], "k", ranges=100)._jdf.queryExecution()
     text = plan.executedPlan().toString()
     # The only single-partition step is the running sum over one row per range.
     single = text.index("SinglePartition")
