@@ -184,6 +184,24 @@ FROM flat WHERE state <> 'BR' GROUP BY state
 """
 
 
+def _profile(table: str, key: str, columns: str, sentinel: str | None, negative: str) -> str:
+    """Counts as rows, in one UNION ALL branch per metric."""
+    real = f"{key} IS NOT NULL" + (f" AND {key} <> {sentinel}" if sentinel else "")
+    metrics = {"row_count": "count(*)"}
+    metrics |= {f"null_{c}": f"count(*) FILTER ({c} IS NULL)" for c in columns.split()}
+    if sentinel:
+        metrics["sentinel_rows"] = f"count(*) FILTER ({key} = {sentinel})"
+        metrics["negative_rows"] = f"count(*) FILTER ({negative})"
+    metrics["distinct_ids"] = f"count(DISTINCT {key})"
+    metrics["possible_duplicates"] = f"count(*) - count(DISTINCT {key})"
+    branches = [f"SELECT '{m}' AS metric, {sql} AS value FROM {table}" for m, sql in metrics.items()]
+    branches.append(
+        f"""SELECT 'repeated_ids' AS metric, count(*) AS value FROM (
+              SELECT {key} FROM {table} WHERE {real} GROUP BY {key} HAVING count(*) > 1) AS r"""
+    )
+    return " UNION ALL ".join(branches)
+
+
 def build() -> dict[str, str]:
     return {
         "src_delimited": _exp(
@@ -293,6 +311,18 @@ def build() -> dict[str, str]:
             """SELECT count(*) AS negative_rows FROM elec WHERE voters < 0
                OR voters_biometrics < 0 OR voters_disability < 0 OR voters_social_name < 0"""
         ),
+        "dq_profile_expenses": _exp(
+            _profile(
+                "exp",
+                "expense_id",
+                "expense_id candidate_id state category detail amount expense_date",
+                "-1",
+                "amount < 0",
+            )
+        ),
+        "dq_profile_candidates": _cand(
+            _profile("cand", "candidate_id", "candidate_id candidate party office state", None, "")
+        ),
         "dim_candidate": _star("SELECT * FROM people"),
         "dim_state": _star("SELECT * FROM states"),
         "dim_category": _star("SELECT * FROM categories"),

@@ -189,7 +189,7 @@ def dq_completeness_electorate(w: Warehouse) -> DataFrame:
 def dq_sentinel_rows(w: Warehouse) -> DataFrame:
     show = ["expense_id", "expense_date", "amount", "detail"]
     return quality.sample_with_value(
-        w.silver_expenses, "expense_id", MISSING_EXPENSE_ID, show, 10
+        w.silver_expenses, "expense_id", MISSING_EXPENSE_ID, show, 10, ordered=True
     )
 
 
@@ -249,6 +249,7 @@ def dq_bronze_drilldown(w: Warehouse) -> DataFrame:
         {"SG_UF": DRILL_STATE},
         {"CD_MUNICIPIO": DRILL_TOWN, "NR_ZONA": DRILL_ZONE},
         20,
+        ordered=True,
     )
 
 
@@ -262,6 +263,19 @@ def dq_negative_measures(w: Warehouse) -> DataFrame:
     return quality.negative_count(w.silver_electorate, ELECTORATE_COUNTS)
 
 
+@on_warehouse
+def dq_profile_expenses(w: Warehouse) -> DataFrame:
+    """The counts of the checks above at once, in two passes."""
+    return quality.profile(
+        w.silver_expenses, "expense_id", sentinel=MISSING_EXPENSE_ID, measures=["amount"]
+    )
+
+
+@on_warehouse
+def dq_profile_candidates(w: Warehouse) -> DataFrame:
+    return quality.profile(w.silver_candidates, "candidate_id")
+
+
 # Star schema, marts, saved tables.
 
 

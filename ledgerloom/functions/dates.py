@@ -25,7 +25,8 @@ def dmy_date_strict(raw: Column) -> Column:
     Same result as ``try_to_date(raw, 'dd/MM/yyyy')``, which raises and catches
     an error for every unreadable text; this stays fast when many are.
     """
-    iso = F.concat_ws("-", F.substring(raw, 7, 4), F.substring(raw, 4, 2), F.substring(raw, 1, 2))
+    year, month, day = F.substring(raw, 7, 4), F.substring(raw, 4, 2), F.substring(raw, 1, 2)
+    iso = F.concat(year, F.lit("-"), month, F.lit("-"), day)
     return F.when(raw.rlike(DMY_TEXT), iso.try_cast("date"))
 
 

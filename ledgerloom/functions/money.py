@@ -14,9 +14,9 @@ def amount_ptbr(raw: Column) -> Column:
     Dots are thousand marks wherever they stand, so text that uses a decimal
     point is read as a whole number: ``99.50`` gives ``9950.00``.
     """
-    # One pass over the characters: the comma becomes a point, the dot has no
-    # counterpart in the second list and is dropped.
-    return F.translate(F.trim(raw), ",.", ".").try_cast(AMOUNT_TYPE)
+    # Plain replacement works on bytes, several times as fast as a pattern or translate().
+    digits = F.replace(F.trim(raw), F.lit("."), F.lit(""))
+    return F.replace(digits, F.lit(","), F.lit(".")).try_cast(AMOUNT_TYPE)
 
 
 def amount_text_ptbr(amount: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.sources.tables import shared_folder
+from ledgerloom.sources.tables import fresh_folder, store
 
 BROADCAST_BYTES = 64 << 20
 
@@ -88,17 +88,17 @@ def _hot_keys(rows: DataFrame, keys: Sequence[str], names: Sequence[str], parts:
 
     The count is combined before its shuffle, so a hot key costs one row per task.
     """
-    shared_folder(rows.sparkSession)
     known = reduce(and_, (F.col(key).isNotNull() for key in keys))
     total = rows.count()
-    return (
+    hot = (
         rows.where(known)
         .groupBy(*(F.col(key).alias(name) for key, name in zip(keys, names)))
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") * parts > total)
         .drop("__n")
-        .checkpoint()
     )
+    # Stored, because both sides of the join use it and must use the same keys.
+    return store(hot, fresh_folder(rows.sparkSession, "hot"))
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import BROADCAST_BYTES, broadcast_if_small, without_match
@@ -63,11 +63,24 @@ def with_value(df: DataFrame, column: str, value: Any) -> DataFrame:
 
 
 def sample_with_value(
-    df: DataFrame, column: str, value: Any, show: Sequence[str], n: int
+    df: DataFrame,
+    column: str,
+    value: Any,
+    show: Sequence[str],
+    n: int,
+    *,
+    ordered: bool = False,
 ) -> DataFrame:
-    """The first ``n`` rows with the value, in the order of the shown columns."""
-    order = [F.asc_nulls_first(name) for name in show]
-    return with_value(df, column, value).select(*show).orderBy(*order).limit(n)
+    """Any ``n`` rows with the value, or the first ``n`` in the order of the shown columns."""
+    found = with_value(df, column, value).select(*show)
+    return _first(found, n, ordered)
+
+
+def _first(df: DataFrame, n: int, ordered: bool) -> DataFrame:
+    """Without an order, reading ends as soon as ``n`` rows are found."""
+    if ordered:
+        df = df.orderBy(*(F.asc_nulls_first(name) for name in df.columns))
+    return df.limit(n)
 
 
 def repeated(df: DataFrame, keys: Sequence[str], *, ignore: Any = None) -> DataFrame:
@@ -134,9 +147,14 @@ def negative_count(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 
 def drill_down(
-    raw: DataFrame, texts: Mapping[str, str], numbers: Mapping[str, int], n: int
+    raw: DataFrame,
+    texts: Mapping[str, str],
+    numbers: Mapping[str, int],
+    n: int,
+    *,
+    ordered: bool = False,
 ) -> DataFrame:
-    """First ``n`` raw rows with exactly these texts and these numbers.
+    """Any ``n`` raw rows with exactly these texts and numbers, or the first ``n`` in order.
 
     Raw columns are text: numbers compare by value (``007`` is 7), and text
     that is no number fits none.
@@ -145,4 +163,37 @@ def drill_down(
         raw = raw.where(F.col(name) == F.lit(value))
     for name, value in numbers.items():
         raw = raw.where(F.col(name).try_cast("bigint") == F.lit(value))
-    return raw.orderBy(*(F.asc_nulls_first(name) for name in raw.columns)).limit(n)
+    return _first(raw, n, ordered)
+
+
+def profile(
+    df: DataFrame, key: str, *, sentinel: Any = None, measures: Sequence[str] = ()
+) -> DataFrame:
+    """All counts of a table as rows ``(metric, value)``, from two passes over it.
+
+    One pass takes every count that needs no grouping; the other groups by the
+    key alone, so only keys and their counts are shuffled, whatever the number
+    of columns.
+    """
+    counts = {"row_count": F.count(F.lit(1))}
+    counts |= {f"null_{name}": F.count_if(F.col(name).isNull()) for name in df.columns}
+    if sentinel is not None:
+        counts["sentinel_rows"] = F.count_if(F.col(key) == F.lit(sentinel))
+    if measures:
+        counts["negative_rows"] = F.count_if(reduce(or_, (F.col(m) < 0 for m in measures)))
+
+    real = F.col(key).isNotNull()
+    if sentinel is not None:
+        real &= F.col(key) != F.lit(sentinel)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    keys = {
+        "distinct_ids": F.count(key),
+        "possible_duplicates": F.coalesce(F.sum("n"), F.lit(0)) - F.count(key),
+        "repeated_ids": F.count_if(real & (F.col("n") > 1)),
+    }
+    return _as_rows(df, counts).unionByName(_as_rows(per_key, keys))
+
+
+def _as_rows(df: DataFrame, counts: Mapping[str, Column]) -> DataFrame:
+    wide = df.agg(*(count.alias(name) for name, count in counts.items()))
+    return wide.unpivot([], list(counts), "metric", "value")

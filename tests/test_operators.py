@@ -203,11 +203,28 @@ def test_no_orphans_count_as_zero(members):
 def test_values_and_measures(records):
     assert bag(quality.minima(records, ["n", "id"])) == [(-5, -1)]
     assert bag(quality.negative_count(records, ["n", "id"])) == [(2,)]
-    sample = quality.sample_with_value(records, "id", -1, ["id", "t"], 1)
+    sample = quality.sample_with_value(records, "id", -1, ["id", "t"], 1, ordered=True)
     assert bag(sample) == [(-1, None)]
     assert quality.with_value(records, "id", None).count() == 0
 
 
+def test_profile(records):
+    found = dict(bag(quality.profile(records, "id", sentinel=-1, measures=["n"])))
+    assert found == {
+        "row_count": 6,
+        "null_id": 1,
+        "null_t": 1,
+        "null_n": 1,
+        "sentinel_rows": 2,
+        "negative_rows": 1,
+        "distinct_ids": 3,
+        "possible_duplicates": 3,
+        "repeated_ids": 1,
+    }
+    empty = dict(bag(quality.profile(records.where("id = 99"), "id")))
+    assert set(empty.values()) == {0}
+
+
 def test_drill_down_compares_numbers_by_value(spark):
     raw = spark.createDataFrame(
         [("X", "007"), ("X", "7"), ("X", "seven"), ("x", "7")], "s string, n string"
