@@ -2,7 +2,7 @@
 
 A reference table goes to every executor only after its size was measured.
 Beyond the limit both sides are shuffled, and keys that hold many rows (NULL
-included) are spread over all partitions, with the few reference rows of those
+included) are spread over many partitions, with the few reference rows of those
 keys copied to each. Results are those of the plain join in every case.
 """
 
@@ -24,6 +24,8 @@ BROADCAST_BYTES = 64 << 20
 _ROW = "__row"
 _SALT = "__salt"
 _FIXED_WIDTH = 16
+# A hot key is cut this many times finer than into average partitions, to even out.
+_FINER = 4
 
 
 @dataclass(frozen=True)
@@ -74,7 +76,8 @@ def payload_bytes(frames: Sequence[DataFrame]) -> list[int]:
         for n, df in enumerate(frames)
     ]
     # One row per frame.
-    return [row["size"] for row in reduce(DataFrame.unionByName, sizes).sort("n").collect()]
+    found = dict(reduce(DataFrame.unionByName, sizes).collect())
+    return [found[n] for n in range(len(frames))]
 
 
 def broadcast_if_small(members: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -83,19 +86,24 @@ def broadcast_if_small(members: DataFrame, *, broadcast_bytes: int = BROADCAST_B
     return F.broadcast(members) if size <= broadcast_bytes else members
 
 
-def _hot_keys(rows: DataFrame, keys: Sequence[str], names: Sequence[str], parts: int) -> DataFrame:
-    """Keys that hold more than a ``1/parts`` share of the rows: fewer than ``parts`` of them.
+def _hot_keys(
+    rows: DataFrame, keys: Sequence[str], names: Sequence[str], copies: str, parts: int
+) -> DataFrame:
+    """Keys with more than a ``1/parts`` share of the rows, and over how many salts to spread each.
 
-    The count is combined before its shuffle, so a hot key costs one row per task.
+    There are fewer than ``parts`` of them, and the salts of all together are
+    fewer than ``(1 + _FINER) * parts``, whatever the data. Rows are counted per
+    key before the shuffle, so a hot key costs one row per task here.
     """
     known = reduce(and_, (F.col(key).isNotNull() for key in keys))
     total = rows.count()
+    shares = F.col("__n") * parts / F.lit(max(total, 1))
     hot = (
         rows.where(known)
         .groupBy(*(F.col(key).alias(name) for key, name in zip(keys, names)))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") * parts > total)
-        .drop("__n")
+        .where(shares > 1)
+        .select(*names, F.ceil(shares * _FINER).cast("int").alias(copies))
     )
     # Stored, because both sides of the join use it and must use the same keys.
     return store(hot, fresh_folder(rows.sparkSession, "hot"))
@@ -110,29 +118,31 @@ def _spread_join(
 ) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probe, slim = lookup.probe(position), lookup.slim(position)
-    names = [f"__hot_{position}_{n}" for n in range(len(probe))]
-    hot = _hot_keys(base, lookup.keys, names, parts)
+    names, copies = [f"__hot_{n}" for n in range(len(probe))], "__copies"
+    hot = _hot_keys(base, lookup.keys, names, copies, parts)
 
     # The salt comes from the row's place in its file: the same after a lost
     # task runs again, and different for rows that are equal in all columns.
-    is_hot = F.col(names[0]).isNotNull()
     no_key = reduce(or_, (F.col(key).isNull() for key in lookup.keys))
-    salt = F.when(is_hot | no_key, F.pmod(F.xxhash64(_ROW), F.lit(parts)).cast("int"))
+    spread = F.when(no_key, F.lit(parts)).otherwise(F.coalesce(copies, F.lit(1)))
     salted = (
         rows.join(F.broadcast(hot), _same(lookup.keys, names), "left")
-        .withColumn(_SALT, F.coalesce(salt, F.lit(0)))
-        .drop(*names)
+        .withColumn(_SALT, F.pmod(F.xxhash64(_ROW), spread).cast("int"))
+        .drop(*names, copies)
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     copied = (
         slim.join(F.broadcast(hot), _same(probe, names), "left")
-        .withColumn("__probe_salt", F.explode(copies))
-        .drop(*names)
+        .withColumn("__probe_salt", F.explode(_salts(F.coalesce(copies, F.lit(1)))))
+        .drop(*names, copies)
     )
     matched = _same(lookup.keys, probe) & (F.col(_SALT) == F.col("__probe_salt"))
     return salted.join(copied, matched, how).drop(_SALT, "__probe_salt")
 
 
+def _salts(copies: Column) -> Column:
+    return F.sequence(F.lit(0), copies - 1)
+
+
 def _join_all(
     rows: DataFrame, lookups: Sequence[Lookup], how: str, broadcast_bytes: int
 ) -> DataFrame:
