@@ -19,7 +19,7 @@ from ledgerloom.operators.standardize import standardize
 from ledgerloom.plans import marts, questions, star
 from ledgerloom.plans.warehouse import GOLD, Warehouse
 from ledgerloom.sources import sample
-from ledgerloom.sources.delimited import read_delimited, write_delimited
+from ledgerloom.sources.delimited import read_delimited
 from ledgerloom.sources.layouts import (
     CANDIDATES,
     ELECTORATE,
@@ -72,16 +72,18 @@ def _row_counts(tables: dict[str, DataFrame], label: str) -> DataFrame:
 # Sources and typed tables.
 
 
-@query
-def src_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text files written, read back and typed, per state and category."""
-    path = fresh_folder(spark, "extract")
-    write_delimited(sample.expenses(spark, sf_dir), path)
-    typed = standardize(read_delimited(spark, path, headers=EXPENSES.headers), EXPENSES)
-    return typed.groupBy("state", "category").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count("expense_date").alias("dated_rows"),
-        F.sum("amount").alias("total_amount"),
+@on_warehouse
+def src_delimited(w: Warehouse) -> DataFrame:
+    """The written text files, read with known headers and typed, per state and category."""
+    raw = read_delimited(w.spark, w.extracts["expenses"], headers=EXPENSES.headers)
+    return (
+        standardize(raw, EXPENSES)
+        .groupBy("state", "category")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count("expense_date").alias("dated_rows"),
+            F.sum("amount").alias("total_amount"),
+        )
     )
 
 
@@ -103,8 +105,8 @@ def silver_electorate(w: Warehouse) -> DataFrame:
 @query
 def scalar_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts up to ten digits as Brazilian text and back, negative ones too."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(12345).cast("decimal(5,0)")
-    signed = F.when(F.col("l_linestatus") == "F", -price).otherwise(price)
+    factor = F.when(F.col("l_linestatus") == "F", -12345).otherwise(12345).cast("decimal(5,0)")
+    signed = F.col("l_extendedprice").cast("decimal(18,2)") * factor
     text = F.concat(F.lit(" "), fn.amount_text_ptbr(signed.cast("decimal(18,2)")))
     return (
         sample.table(spark, sf_dir, "lineitem")

@@ -176,7 +176,10 @@ def without_match(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Anti join: the rows, NULL keys included, whose key is not among ``members``."""
+    """Anti join: the rows, NULL keys included, whose key is not among ``members``.
+
+    As in :func:`resolve`, ``rows`` must be a stored table.
+    """
     return _join_all(rows, [Lookup(members, on)], "left_anti", broadcast_bytes)
 
 
