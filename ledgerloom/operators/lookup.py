@@ -97,7 +97,7 @@ def _hot_keys(
     """
     known = reduce(and_, (F.col(key).isNotNull() for key in keys))
     total = rows.count()
-    shares = F.col("__n") * parts / F.lit(max(total, 1))
+    shares = F.col("__n") / F.lit(max(total, 1)) * parts
     hot = (
         rows.where(known)
         .groupBy(*(F.col(key).alias(name) for key, name in zip(keys, names)))

@@ -73,12 +73,12 @@ def test_dense_key_of_nothing_and_null_first(spark):
     assert bag(dense_key(df.where("s = 'Z'"), ["s"], "k")) == []
 
 
-def test_dense_key_has_no_single_task_window_over_members(spark, categories):
-    plan = dense_key(categories, ["c", "d"], "k", ranges=100)._jdf.queryExecution()
-    text = plan.executedPlan().toString()
+def test_dense_key_has_no_single_task_window_over_members(categories, plan):
+    text = plan(dense_key(categories, ["c", "d"], "k", ranges=100))
     # The only single-partition step is the running sum over one row per range.
-    single = text.index("SinglePartition")
-    assert "HashAggregate(keys=[__range" in text[single:]
+    assert text.count("Exchange SinglePartition") == 1
+    below = text[text.index("Exchange SinglePartition") :].splitlines()[1]
+    assert "HashAggregate(keys=[__range" in below
 
 
 # lookups

@@ -90,12 +90,13 @@ def test_with_member_adds_once(spark):
         assert sorted(map(tuple, df.collect())) == [(-1, None), (1, "a")]
 
 
-def test_store_keeps_rows_and_filters_by_value(spark):
+def test_store_keeps_rows_and_filters_by_value(spark, plan):
     df = spark.range(1000).withColumn("v", F.col("id") * 2)
     stored = store(df, fresh_folder(spark, "t"), find_by="id")
     assert stored.count() == 1000
     assert stored.where("id = 77").first()["v"] == 154
-    assert "FileScan" in stored._jdf.queryExecution().toString()
+    found = plan(stored.where("id = 77"))
+    assert "FileScan parquet" in found and "EqualTo(id,77)" in found and "Range" not in found
 
 
 def test_shared_folder_is_the_configured_one(spark):
