@@ -148,14 +148,18 @@ def _join_all(
 ) -> DataFrame:
     sizes = payload_bytes([lookup.slim(n) for n, lookup in enumerate(lookups)])
     result = rows.withColumn(_ROW, F.monotonically_increasing_id())
-    for n, (lookup, size) in enumerate(zip(lookups, sizes)):
-        if size <= broadcast_bytes:
+    # Shuffled lookups come first, while the rows are narrow; what the broadcast
+    # ones add is then never shuffled.
+    for n in sorted(range(len(lookups)), key=lambda n: sizes[n] <= broadcast_bytes):
+        lookup = lookups[n]
+        if sizes[n] <= broadcast_bytes:
             condition = _same(lookup.keys, lookup.probe(n))
             result = result.join(F.broadcast(lookup.slim(n)), condition, how)
         else:
             result = _spread_join(result, rows, lookup, n, how)
         result = result.drop(*lookup.probe(n))
-    return result.drop(_ROW)
+    new = [name for lookup in lookups for name in lookup.take] if how == "left" else []
+    return result.select(*rows.columns, *new)
 
 
 def resolve(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import BROADCAST_BYTES, Lookup, resolve
@@ -84,40 +84,45 @@ def flat_from_expenses(
     Same rows as :func:`flat_mart` over the fact, without the second join of a
     large table with every dimension; the fact is a projection of the result.
     """
-    # Texts and dates come from the member found, not from the expense: where
-    # one part of a composite key is NULL there is no member, and both are NULL.
     wide = resolve(
         expenses.withColumnsRenamed({name: f"__{name}" for name in expenses.columns}),
         [
             Lookup(
                 candidates,
                 {"__candidate_id": "candidate_id"},
-                _attributes("candidate_id", "candidate", "party", "office"),
-            ),
-            Lookup(
-                states, {"__state": "state"}, _attributes("state_key", "state", "total_voters")
+                {"known_id": "candidate_id", "name": "candidate"} | _attributes("party", "office"),
             ),
+            Lookup(states, {"__state": "state"}, _attributes("state_key", "total_voters")),
             Lookup(
                 categories,
                 {"__category": "category", "__detail": "detail"},
-                _attributes("category_key", "category", "detail"),
+                _attributes("category_key"),
             ),
             Lookup(
                 dates,
                 {"__expense_date": "expense_date"},
-                _attributes("date_key", "expense_date", "year", "month", "day", "quarter"),
+                _attributes("date_key", "year", "month", "day", "quarter"),
             ),
         ],
         broadcast_bytes=broadcast_bytes,
     )
-    no_candidate = F.col("candidate_id").isNull()
+
+    # Texts and dates are those of the member found, which the expense has as
+    # well: no need to carry them through the join a second time. Where one part
+    # of a composite key is NULL there is no member, and both parts are NULL.
+    def of_member(column: str, key: str) -> Column:
+        return F.when(F.col(key).isNotNull(), F.col(f"__{column}"))
+
+    known = F.col("known_id").isNotNull()
     derived = {
         "expense_id": F.col("__expense_id"),
         "amount": F.col("__amount"),
-        "candidate_id": F.when(no_candidate, UNKNOWN_CANDIDATE_ID).otherwise(
-            F.col("candidate_id")
-        ),
-        "candidate": F.when(no_candidate, UNKNOWN_CANDIDATE).otherwise(F.col("candidate")),
+        "candidate_id": F.coalesce("known_id", F.lit(UNKNOWN_CANDIDATE_ID).cast("bigint")),
+        "candidate": F.when(known, F.col("name")).otherwise(F.lit(UNKNOWN_CANDIDATE)),
+        "state": of_member("state", "state_key"),
+        "category": of_member("category", "category_key"),
+        "detail": of_member("detail", "category_key"),
+        "expense_date": of_member("expense_date", "date_key"),
         "date_key": F.coalesce("date_key", F.lit(UNKNOWN_DATE_KEY).cast("bigint")),
     }
     return wide.select(*(derived.get(n, F.col(n)).alias(n) for n in FLAT_COLUMNS))
