@@ -26,6 +26,9 @@ _SALT = "__salt"
 _FIXED_WIDTH = 16
 # A hot key is cut this many times finer than into average partitions, to even out.
 _FINER = 4
+# How many rows are looked at to find the hot keys of a large table.
+_SEEN_PER_HOT_KEY = 1_000
+_SEEN_AT_LEAST = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -91,16 +94,21 @@ def _hot_keys(
 ) -> DataFrame:
     """Keys with more than a ``1/parts`` share of the rows, and over how many salts to spread each.
 
-    There are fewer than ``parts`` of them, and the salts of all together are
-    fewer than ``(1 + _FINER) * parts``, whatever the data. Rows are counted per
-    key before the shuffle, so a hot key costs one row per task here.
+    Such keys number about ``parts`` at most, and the salts of all together
+    ``(1 + _FINER) * parts``, whatever the data. Shares decide only how rows are
+    spread, never which rows are joined: every row is. So for a large table they
+    are estimated from enough rows to see such a key a thousand times, as
+    counting near-unique keys of all rows would shuffle the table once more.
     """
-    known = reduce(and_, (F.col(key).isNotNull() for key in keys))
-    total = rows.count()
-    shares = F.col("__n") / F.lit(max(total, 1)) * parts
+    columns = rows.select(*(F.col(key).alias(name) for key, name in zip(keys, names)))
+    total = max(rows.count(), 1)
+    fraction = max(_SEEN_PER_HOT_KEY * parts, _SEEN_AT_LEAST) / total
+    if fraction < 1:
+        columns, total = columns.sample(fraction, seed=0), total * fraction
+    shares = F.col("__n") / F.lit(total) * parts
     hot = (
-        rows.where(known)
-        .groupBy(*(F.col(key).alias(name) for key, name in zip(keys, names)))
+        columns.where(reduce(and_, (F.col(name).isNotNull() for name in names)))
+        .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(shares > 1)
         .select(*names, F.ceil(shares * _FINER).cast("int").alias(copies))

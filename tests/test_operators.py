@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import quality, ranking
+from ledgerloom.operators import lookup, quality, ranking
 from ledgerloom.operators.keys import dense_key
 from ledgerloom.operators.lookup import (
     Lookup,
@@ -149,6 +149,16 @@ def test_hot_keys_do_not_end_in_one_task(spark, skewed, members):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_shares_from_a_part_of_the_rows_change_no_result(monkeypatch, skewed, members):
+    monkeypatch.setattr(lookup, "_SEEN_PER_HOT_KEY", 10)
+    monkeypatch.setattr(lookup, "_SEEN_AT_LEAST", 10)
+    found = resolve(skewed, [Lookup(members, {"k": "m"}, {"n": "name"})], broadcast_bytes=0)
+    expected = skewed.join(members, F.col("k") == F.col("m"), "left").select("k", "t", "name")
+    assert bag(found) == bag(expected)
+    hot = lookup._hot_keys(skewed, ["k"], ["key"], "copies", 8).collect()
+    assert 7 in {row["key"] for row in hot}
+
+
 def test_payload_counts_text_and_fixed_columns(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "a bigint, b string")
     assert payload_bytes([df, df.where("a > 5")]) == [2 * 16 + 2 * 16 + 3, 0]
