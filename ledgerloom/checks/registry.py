@@ -106,7 +106,7 @@ def silver_electorate(w: Warehouse) -> DataFrame:
 def scalar_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts up to ten digits as Brazilian text and back, negative ones too."""
     factor = F.when(F.col("l_linestatus") == "F", -12345).otherwise(12345).cast("decimal(5,0)")
-    signed = F.col("l_extendedprice").cast("decimal(18,2)") * factor
+    signed = F.col("l_extendedprice").cast("decimal(9,2)") * factor
     text = F.concat(F.lit(" "), fn.amount_text_ptbr(signed.cast("decimal(18,2)")))
     return (
         sample.table(spark, sf_dir, "lineitem")
