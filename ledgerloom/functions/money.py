@@ -14,11 +14,15 @@ def amount_ptbr(raw: Column) -> Column:
     Dots are thousand marks wherever they stand, so text that uses a decimal
     point is read as a whole number: ``99.50`` gives ``9950.00``.
     """
-    # Plain replacement works on bytes, several times as fast as a pattern or translate().
+    # Plain replacement works on bytes, much faster than a pattern or translate().
     digits = F.replace(F.trim(raw), F.lit("."), F.lit(""))
     return F.replace(digits, F.lit(","), F.lit(".")).try_cast(AMOUNT_TYPE)
 
 
 def amount_text_ptbr(amount: Column) -> Column:
     """The inverse: a number as ``1.234.567,80``."""
-    return F.translate(F.format_number(amount, 2), ",.", ".,")
+    text = F.format_number(amount, 2)
+    # The two marks change places by way of a third that no number holds.
+    for old, new in ((",", "_"), (".", ","), ("_", ".")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text

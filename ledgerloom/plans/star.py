@@ -18,11 +18,15 @@ from ledgerloom.sources.literals import (
 
 
 def candidate_dimension(candidates: DataFrame) -> DataFrame:
-    """Candidates and the unknown member. An id that occurs twice is an error, see README."""
-    members = candidates.select("candidate_id", "candidate", "party", "office", "state")
-    require_unique(members, ["candidate_id"], "candidates")
-    unknown = {"candidate_id": UNKNOWN_CANDIDATE_ID, "candidate": UNKNOWN_CANDIDATE}
-    return with_member(members, unknown)
+    """Candidates and the unknown member.
+
+    An id that occurs twice, or is that of the unknown member, is an error, see README.
+    """
+    members = with_member(
+        candidates.select("candidate_id", "candidate", "party", "office", "state"),
+        {"candidate_id": UNKNOWN_CANDIDATE_ID, "candidate": UNKNOWN_CANDIDATE},
+    )
+    return require_unique(members, ["candidate_id"], "candidates")
 
 
 def state_dimension(expenses: DataFrame, electorate: DataFrame) -> DataFrame:

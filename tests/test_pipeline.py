@@ -155,8 +155,10 @@ def test_published_tables_are_listed(spark, load):
 
 def test_repeated_candidate_is_refused(spark, load):
     twice = load.silver_candidates.unionByName(load.silver_candidates.where("candidate_id = 10"))
-    with pytest.raises(ValueError, match="candidates: duplicated key"):
-        star.candidate_dimension(twice)
+    unknown = load.silver_candidates.withColumn("candidate_id", F.lit(-1).cast("bigint")).limit(1)
+    for candidates in (twice, load.silver_candidates.unionByName(unknown)):
+        with pytest.raises(ValueError, match="candidates: duplicated key"):
+            star.candidate_dimension(candidates)
 
 
 @pytest.mark.parametrize("limit", [1 << 30, 0])
