@@ -1,3 +1,3 @@
-"""Public-spending analytics on Spark: text extracts to typed tables, star schema, marts and answers."""
+"""Public-spending analytics on Spark: text extracts, star schema, marts and answers."""
 
 __version__ = "0.1.0"

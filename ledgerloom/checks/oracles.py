@@ -194,7 +194,10 @@ def _profile(table: str, key: str, columns: str, sentinel: str | None, negative:
         metrics["negative_rows"] = f"count(*) FILTER ({negative})"
     metrics["distinct_ids"] = f"count(DISTINCT {key})"
     metrics["possible_duplicates"] = f"count(*) - count(DISTINCT {key})"
-    branches = [f"SELECT '{m}' AS metric, {sql} AS value FROM {table}" for m, sql in metrics.items()]
+    branches = [
+        f"SELECT '{name}' AS metric, {count} AS value FROM {table}"
+        for name, count in metrics.items()
+    ]
     branches.append(
         f"""SELECT 'repeated_ids' AS metric, count(*) AS value FROM (
               SELECT {key} FROM {table} WHERE {real} GROUP BY {key} HAVING count(*) > 1) AS r"""

@@ -72,15 +72,14 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def payload_bytes(frames: Sequence[DataFrame]) -> list[int]:
     """Uncompressed size of each frame, measured over all its rows in one job."""
-    sizes = [
-        df.agg(F.coalesce(F.sum(_row_bytes(df).cast("bigint")), F.lit(0)).alias("size")).select(
-            F.lit(n).alias("n"), "size"
-        )
+    rows = [
+        df.select(F.lit(n).alias("n"), _row_bytes(df).cast("bigint").alias("size"))
         for n, df in enumerate(frames)
     ]
-    # One row per frame.
-    found = dict(reduce(DataFrame.unionByName, sizes).collect())
-    return [found[n] for n in range(len(frames))]
+    sizes = reduce(DataFrame.unionByName, rows).groupBy("n").agg(F.sum("size"))
+    # One row per frame that has rows.
+    found = dict(sizes.collect())
+    return [found.get(n, 0) for n in range(len(frames))]
 
 
 def broadcast_if_small(members: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
