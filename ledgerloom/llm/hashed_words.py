@@ -85,12 +85,16 @@ def _slices(data: np.ndarray, rows: np.ndarray, separator: np.ndarray) -> Iterat
 
 
 def word_hashes(
-    column: pa.Array, separator: np.ndarray = WHITE, *, lower: bool = True
-) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a text column, in order, and each row's offset among them."""
+    column: pa.Array, separator: np.ndarray = WHITE, *, lower: bool = True, starts_of: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
+    """Hashes of all words of a text column, in order, and each row's offset among them.
+
+    ``starts_of`` asks for hashes of the words' first so many bytes as well; they come last.
+    """
     data, rows = text_bytes(column)
     values = LOWER_VALUES if lower else BYTE_VALUES
     hashes, starts = [], []
+    heads: list[list[np.ndarray]] = [[] for _ in starts_of]
     for begin, stop in _slices(data, rows, separator):
         part = data[begin:stop]
         powers, inverses = _power_tables(len(part))
@@ -107,9 +111,16 @@ def word_hashes(
         np.cumsum(values[part] * powers[: len(part)], out=sums[1:])
         hashes.append(mix((sums[stops] - sums[start]) * inverses[start]))
         starts.append(start + begin)
+        for held, n in zip(heads, starts_of, strict=True):
+            held.append(mix((sums[np.minimum(stops, start + n)] - sums[start]) * inverses[start]))
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(rows), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), rows)
+        none = np.zeros(0, np.uint64)
+        return (none, np.zeros(len(rows), np.int64), *(none for _ in starts_of))
+    return (
+        np.concatenate(hashes),
+        np.searchsorted(np.concatenate(starts), rows),
+        *(np.concatenate(held) for held in heads),
+    )
 
 
 def sliced(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

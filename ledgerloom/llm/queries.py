@@ -6,11 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ngram_join
+from ledgerloom.llm import ngram_join, packing, token_counts
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file, as the installed ``public_tokenizers`` has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,3 +32,15 @@ def query(make: Query) -> Query:
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: five words, similarity 0.75."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op9_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))

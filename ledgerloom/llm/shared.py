@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,3 +55,13 @@ def broadcast_if_few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import this package from where the driver has it.
+
+    On a cluster the package is installed or sent along; there nothing changes.
+    """
+    if spark.sparkContext.master.startswith("local["):
+        root = str(Path(__file__).resolve().parents[2])
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
