@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ngram_join, packing, token_counts
+from ledgerloom.llm import ngram_join, packing, token_counts, toxicity, url_filter
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,53 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside fold 0."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: host, path, verdict
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+_RULE_ROWS = ", ".join(map(str, URL_RULES))
+
+
+@query
+def op10_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL against the rules."""
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULE_ROWS} AS rules(host, path, verdict)")
+    return url_filter.judged(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLES["op10_bloom_url_filter"] = f"""
+WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULE_ROWS}),
+rests AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM rests),
+parts AS (
+    SELECT page_id, rest,
+           translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path
+    FROM hosts
+),
+pairs AS (SELECT DISTINCT host, path FROM parts),
+fits AS (
+    SELECT p.host, p.path, rule_host || rule_path AS rule, r.verdict,
+           row_number() OVER (PARTITION BY p.host, p.path
+                              ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+    FROM pairs p
+    JOIN rules r ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)
+)
+SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path AND place = 1
+"""

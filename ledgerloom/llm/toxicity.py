@@ -57,7 +57,12 @@ def _expressions(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.nda
     before[1:] = words[:-1]
     before[rows[:-1][np.diff(rows) > 0]] = START
     cells = [_cell(words, WORD), *(_cell(stem, k) for stem, k in zip(stems, (STEM5, STEM4), strict=True))]
-    return [*cells, _cell(words + np.uint64(3) * before, PAIR), _cell(before, CONTEXT)], before, rows
+    context = _cell(before, CONTEXT)
+    return [*cells, (context << BITS) | cells[WORD], context], before, rows
+
+
+def _mark(pairs: np.ndarray) -> np.ndarray:
+    return (mix(pairs.view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def shared_contexts(docs: DataFrame) -> list[np.ndarray]:
@@ -105,7 +110,9 @@ class ClassModel:
 
     known: list[np.ndarray]  # discounted shares of words, stems of five and four
     left: list[float]  # what the discount leaves to the next level
-    pairs: np.ndarray  # discounted count of a pair
+    pairs: np.ndarray  # pairs (context and word) that are left after the discount, sorted
+    often: np.ndarray  # their discounted counts
+    marks: np.ndarray  # cells of those pairs, so that most others are passed over
     each: np.ndarray  # 1 / count of a context, 0: unknown
     after: np.ndarray  # what a context leaves to the word alone
 
@@ -113,7 +120,15 @@ class ClassModel:
         p = self.left[STEM4] * within[STEM4] + self.known[STEM4][cells[STEM4]]
         for table in (STEM5, WORD):
             p = self.left[table] * within[table] * p + self.known[table][cells[table]]
-        return np.log(self.pairs[cells[PAIR]] * self.each[cells[CONTEXT]] + self.after[cells[CONTEXT]] * p)
+        p = self.after[cells[CONTEXT]] * p
+        near = np.flatnonzero(self.marks[_mark(cells[PAIR])])
+        if len(near):
+            pair = cells[PAIR][near]
+            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            found = self.pairs[at] == pair
+            near, at = near[found], at[found]
+            p[near] += self.often[at] * self.each[cells[CONTEXT][near]]
+        return np.log(p)
 
 
 @dataclass
@@ -121,17 +136,18 @@ class Model:
     toxic: ClassModel
     ordinary: ClassModel
     shared: list[np.ndarray]  # shares of contexts in the whole corpus, for words and stems
-    weights: np.ndarray  # of the difference per word, of the difference by the root of the words, 1
+    weights: np.ndarray  # of the difference by words, of the difference by their root, 1
 
     def features(self, column: pa.Array) -> np.ndarray:
         cells, _, rows = _expressions(column)
         word, stem5, stem4 = (self.shared[k][cells[k]] for k in (WORD, STEM5, STEM4))
         within = [np.minimum(word / stem5, 1), np.minimum(stem5 / stem4, 1), stem4]
         differs = self.toxic.log_likelihood(cells, within) - self.ordinary.log_likelihood(cells, within)
-        differs = np.sign(differs) * np.maximum(np.abs(differs) - MARGIN, 0)
-        sums = np.concatenate(([0.0], np.cumsum(differs, dtype=np.float64)))
-        total = sums[rows[1:]] - sums[rows[:-1]]
         n = np.maximum(np.diff(rows), 1)
+
+        # What speaks against toxic is the same for most texts: that they hold common words.
+        sums = np.concatenate(([0.0], np.cumsum(np.maximum(differs - MARGIN, 0), dtype=np.float64)))
+        total = sums[rows[1:]] - sums[rows[:-1]]
         return np.stack((total / n, total / np.sqrt(n), np.ones(len(n))), axis=1)
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -151,9 +167,8 @@ def _class_models(texts: DataFrame, shared: list[np.ndarray]) -> tuple[ClassMode
                 row = np.repeat(np.arange(part.num_rows), np.diff(rows))
                 grade = part.column("grade").to_numpy().astype(np.int64)
                 for table in (WORD, STEM5, STEM4, PAIR):
-                    # One number for an expression (a pair with its context), once for each document.
-                    key = cells[table] | (cells[CONTEXT] << BITS if table == PAIR else 0)
-                    own = np.unique((row << (2 * BITS)) | key)
+                    # One number for an expression, once for each document.
+                    own = np.unique((row << (2 * BITS)) | cells[table])
                     own = (grade[own >> (2 * BITS)] << (2 * BITS)) | (own & ((1 << (2 * BITS)) - 1))
                     found, n = np.unique(own, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -162,25 +177,35 @@ def _class_models(texts: DataFrame, shared: list[np.ndarray]) -> tuple[ClassMode
                     )
 
     counts = texts.mapInArrow(count, "table int, key long, n long").groupBy("table", "key").agg(F.sum("n").alias("n"))
-    cell = F.lit(CELLS - 1)
     split = counts.select(
         "table",
         F.shiftright("key", 2 * BITS).alias("grade"),
-        F.col("key").bitwiseAND(cell).alias("cell"),
-        F.shiftright("key", BITS).bitwiseAND(cell).alias("context"),
+        F.col("key").bitwiseAND(F.lit((1 << 2 * BITS) - 1)).alias("cell"),
         "n",
+        F.least("n", F.lit(DISCOUNT)).alias("taken"),
     )
-    taken = F.sum(F.least("n", F.lit(DISCOUNT))).alias("taken")
-    by_cell = split.groupBy("table", "grade", "cell").agg(F.sum("n").alias("n"), taken)
+    pairs = F.col("table") == PAIR
     by_context = (
-        split.where(F.col("table") == PAIR)
-        .groupBy("grade", "context")
-        .agg(F.sum("n").alias("n"), taken)
+        split.where(pairs)
+        .groupBy("grade", F.shiftright("cell", BITS).alias("context"))
+        .agg(F.sum("n").alias("n"), F.sum("taken").alias("taken"))
         .select(F.lit(CONTEXT), "grade", "context", "n", "taken")
     )
-    found = by_cell.union(by_context).toArrow()  # ten tables of CELLS rows at most
+    # Eight tables of CELLS rows at most, and the sample's pairs that occur often.
+    found = split.where(~pairs | (F.col("n") > DISCOUNT)).union(by_context).toArrow()
     table, grade, at, n, taken = (found.column(k).to_numpy() for k in range(5))
 
+    # What is left to the next level is shared as well: classes of unequal size would differ in it.
+    left = []
+    for which in (WORD, STEM5, STEM4):
+        own = table == which
+        left.append(float(taken[own].sum() / n[own].sum()) if own.any() else 1.0)
+    own = table == CONTEXT
+    context, off = np.zeros(CELLS), np.zeros(CELLS)
+    np.add.at(context, at[own], n[own])
+    np.add.at(off, at[own], taken[own])
+    after = np.divide(off, context, out=np.ones(CELLS), where=context > 0)
+
     def one(of: int) -> ClassModel:
         def dense(which, values):
             own = (table == which) & (grade == of)
@@ -188,17 +213,18 @@ def _class_models(texts: DataFrame, shared: list[np.ndarray]) -> tuple[ClassMode
             out[at[own]] = values[own]
             return out
 
-        known, left = [], []
+        known = []
         for which in (WORD, STEM5, STEM4):
             held = dense(which, n)
-            total = held.sum()
-            known.append((np.maximum(held - DISCOUNT, 0) / max(total, 1)).astype(np.float32))
-            left.append(float(np.minimum(held, DISCOUNT).sum() / total) if total else 1.0)
+            known.append((np.maximum(held - DISCOUNT, 0) / max(held.sum(), 1)).astype(np.float32))
         context = dense(CONTEXT, n)
         each = np.divide(1.0, context, out=np.zeros(CELLS), where=context > 0)
-        after = np.where(context > 0, dense(CONTEXT, taken) * each, 1.0)
-        pairs = np.maximum(dense(PAIR, n) - DISCOUNT, 0)
-        return ClassModel(known, left, *(x.astype(np.float32) for x in (pairs, each, after)))
+        own = (table == PAIR) & (grade == of)
+        order = np.argsort(at[own])
+        pairs, often = at[own][order], (n[own][order] - DISCOUNT).astype(np.float32)
+        marks = np.zeros(CELLS, dtype=bool)
+        marks[_mark(pairs)] = True
+        return ClassModel(known, left, pairs, often, marks, each.astype(np.float32), after.astype(np.float32))
 
     return one(1), one(0)
 
@@ -207,7 +233,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights by Newton's method with a small ridge; both classes weigh the same."""
     w = np.zeros(x.shape[1])
     each = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    for _ in range(30):
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (each * (y - p)) - 1e-4 * w
         curve = (x * (each * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-4 * np.eye(len(w))
@@ -223,8 +249,6 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, calibration: int
     contexts = shared_contexts(docs)
     shared = [((k + 0.5) / (k + 0.5).sum()).astype(np.float32) for k in contexts]
     toxic = F.col("toxic")
-    # As many of either class: models of unequal size would differ in what they leave to the shared counts.
-    most = min(most, labelled.sample(labels, toxic, [1], COUNT_FOLDS, most).count())
     chosen = labelled.sample(labels, toxic, [0, 1], COUNT_FOLDS, most)
     model = Model(*_class_models(labelled.texts(docs, chosen), shared), shared, np.zeros(3))
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -234,15 +258,16 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, calibration: int
             for part in sliced(batch, "text"):
                 found = sent.value.features(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("grade"), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["grade", "a", "b"]
+                    [part.column("grade"), *(pa.array(found[:, k].copy()) for k in range(2))],
+                    names=["grade", "a", "b"],
                 )
 
     chosen = labelled.sample(labels, toxic, [0, 1], CALIBRATION_FOLDS, calibration)
     rows = labelled.texts(docs, chosen).mapInArrow(measure, "grade int, a double, b double").toArrow()
-    y, a, b = (rows.column(k).to_numpy() for k in range(3))
+    y, *x = (rows.column(k).to_numpy() for k in range(3))
     sent.unpersist()
-    # Beside the calibration rows, two that keep texts without words on the ordinary side.
-    x = np.stack((np.append(a, [0.0]), np.append(b, [0.0]), np.ones(len(a) + 1)), axis=1)
+    # Beside the calibration rows, one that keeps texts without words on the ordinary side.
+    x = np.concatenate((np.stack((*x, np.ones(len(y))), axis=1), [[0.0, 0.0, 1.0]]))
     model.weights = _logistic(x, np.append(y, [0]))
     return model
 
