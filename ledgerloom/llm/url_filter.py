@@ -52,7 +52,9 @@ def _after_scheme(url: Column) -> Column:
 
 def _word(key_hash: Column) -> Column:
     """The bits that a key sets in its block."""
-    bits = [F.shiftleft(F.lit(1).cast("long"), F.pmod(F.shiftright(key_hash, 6 * k), F.lit(64)).cast("int")) for k in range(BITS_SET)]
+    one = F.lit(1).cast("long")
+    places = [F.pmod(F.shiftright(key_hash, 6 * k), F.lit(64)).cast("int") for k in range(BITS_SET)]
+    bits = [F.call_function("shiftleft", one, place) for place in places]
     word = bits[0]
     for bit in bits[1:]:
         word = word.bitwiseOR(bit)
