@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import ngram_join, packing, token_counts, toxicity, url_filter
+from ledgerloom.llm import decontaminate, ngram_join, packing, token_counts, toxicity, url_filter
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,9 @@ fits AS (
 SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path AND place = 1
 """
+
+
+@query
+def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold, whatever values fill their slots."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
