@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, ngram_join, packing, token_counts, toxicity, url_filter
+from ledgerloom.llm import decontaminate, ngram_join, packing, quality, token_counts, toxicity, url_filter
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,9 @@ FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path AND place =
 def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold, whatever values fill their slots."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of all documents, learned outside fold 0."""
+    return quality.rated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
