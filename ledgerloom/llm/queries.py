@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, ngram_join, packing, quality, token_counts, toxicity, url_filter
+from ledgerloom.llm import decontaminate, ngram_join, packing, quality, token_counts, toxicity, url_filter, warc
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,23 @@ def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of all documents, learned outside fold 0."""
     return quality.rated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, read back and checked."""
+    return warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
+
+
+ORACLES["op2_content_addressed_warc"] = """
+WITH own AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+           sha256(coalesce(html, '')) AS strong
+    FROM pages
+),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY strong) AS keeper FROM own)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 1000 OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM kept
+"""
