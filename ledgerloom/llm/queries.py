@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, ngram_join, packing, quality, token_counts, toxicity, url_filter, warc
+from ledgerloom.llm import chat, decontaminate, ngram_join, packing, quality, token_counts, toxicity, url_filter, warc
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +127,40 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
 FROM kept
 """
+
+
+#: A conversation that looks like the template itself.
+CLASH_ID, CLASH_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that clashes with the template, formatted and read back."""
+    columns = ["conv_id", "turn", "role", "text"]
+    clash = spark.range(2).select(
+        F.lit(CLASH_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CLASH_TEXT).alias("text"),
+    )
+    return chat.formatted_conversations(table(spark, sf_dir, "conversations").select(columns).union(clash))
+
+
+ORACLES["op3_chat_round_trip"] = rf"""
+WITH own AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT {CLASH_ID}, 0, 'user', '{CLASH_TEXT}'
+    UNION ALL SELECT {CLASH_ID}, 1, 'assistant', '{CLASH_TEXT}'
+),
+written AS (
+    SELECT *, regexp_replace(text, '(\\*(?:### |</turn>))', '\\\1', 'g') AS body,
+           regexp_replace(regexp_replace(role, '\\', '\\\\', 'g'), '[\n\r]', '\\n', 'g') AS role_line
+    FROM own
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + length(role_line) + 2 + length(body) + 9)::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+"""
