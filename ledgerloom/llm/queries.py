@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, ngram_join, packing, quality, token_counts, toxicity, url_filter, warc
+from ledgerloom.llm import chat, decontaminate, ngram_join, packing, quality, token_counts, topk, toxicity, url_filter, warc
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,24 @@ SELECT conv_id, count(*) AS n_turns,
        sum(4 + length(role_line) + 2 + length(body) + 9)::BIGINT AS formatted_chars
 FROM written GROUP BY conv_id
 """
+
+
+@query
+def op1_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op1_uniform_threshold_topk"] = """
+WITH whole AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
