@@ -1,14 +1,85 @@
-"""A training corpus from ``documents``, stage by stage."""
+"""A training corpus from ``documents``, stage by stage.
+
+Every stage takes what the one before it kept. The first four filter documents and return
+them with the columns they came with; the last packs what is left into sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import decontaminate, ngram_join, packing, quality
+from ledgerloom.llm import toxicity as toxic
+from ledgerloom.llm.queries import tokenizer
+from ledgerloom.llm.shared import Scratch, broadcast_if_few, table
+
+#: From this score (toxicity), below this probability of a readable text (quality), a document goes.
+TOXIC = 0.5
+READABLE = 0.5
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id is in ``ids`` (a stored table of distinct ids)."""
+    ids = ids.select(F.col("doc_id").alias("gone"))
+    return docs.join(broadcast_if_few(ids), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents with a toxicity score below TOXIC; texts without words stay."""
+    model = toxic.train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxic.score_column(docs, model) < TOXIC)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that are readable or good with a probability of READABLE or more."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    readable = quality.tail_column(quality.position_column(docs, model), model.thresholds[0])
+    return docs.where(readable >= READABLE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each near-duplicate group, that with the smallest doc_id.
+
+    Of rows with one doc_id and equal texts one stays as well; an id that stands on rows of
+    several groups stays if it is the smallest in one of them. Texts without words are in no
+    group and all stay, and so do rows without a doc_id.
+    """
+    kept = Scratch(spark, "near-duplicates")
+    named = ngram_join.near_duplicates(docs).where("doc_id is not null and n_shingles > 0")
+    ids = kept.store(
+        named.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    )
+    left = without(docs, kept.store(ids.where("not stays").select("doc_id")))
+    # A corpus with clean ids has none that repeat, and is not looked at again.
+    several = kept.store(ids.where("stays and n > 1").select("doc_id"))
+    if several.limit(1).count() == 0:
+        return left
+    again = left.join(several, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return without(left, several).unionByName(again)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that hold no benchmark item, with its own or other values in its slots."""
+    kept = Scratch(spark, "decontamination")
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, kept.store(found.select("doc_id").distinct()))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places all documents in sequences of 4096 tokens."""
+    return packing.packed_documents(docs, tokenizer("word_bpe_49k.json"))
 
-from ledgerloom.llm.shared import Scratch, table
 
-STAGES = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("best-fit packing", best_fit_packing),
+]
 
-#: The stages train models and pack sequences, which SQL cannot express; tests hold a brute-force version against them.
+#: Trained models and packing are beyond SQL; the tests hold a brute-force version against the stages.
 ORACLE_SQL = None
 
 
