@@ -34,7 +34,7 @@ def dense_key(
         .sortWithinPartitions(*order)
         .withColumn("__place", F.monotonically_increasing_id())
         .withColumn("__range", F.shiftright("__place", _POSITION_BITS)),
-        fresh_folder(members.sparkSession, key),
+        fresh_folder(members.sparkSession, key, passing=True),
     )
     # One row per range, so the running sum and the broadcast are small by construction.
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,9 +1,10 @@
 """Joins of a large table with reference tables, safe against hot keys.
 
 A reference table goes to every executor only after its size was measured.
-Beyond the limit both sides are shuffled, and keys that hold many rows (NULL
-included) are spread over many partitions, with the few reference rows of those
-keys copied to each. Results are those of the plain join in every case.
+Beyond the limit both sides are shuffled and merged, whatever Spark itself would
+take the table's size for, and keys that hold many rows (NULL included) are
+spread over many partitions, with the few reference rows of those keys copied to
+each. Results are those of the plain join in every case.
 """
 
 from __future__ import annotations
@@ -26,9 +27,8 @@ _SALT = "__salt"
 _FIXED_WIDTH = 16
 # A hot key is cut this many times finer than into average partitions, to even out.
 _FINER = 4
-# How many rows are looked at to find the hot keys of a large table.
-_SEEN_PER_HOT_KEY = 1_000
-_SEEN_AT_LEAST = 1_000_000
+# Stands for the size of columns that cannot be measured; larger than any limit.
+_UNMEASURED = 1 << 60
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,7 @@ class Lookup:
 
 
 def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row; columns with an element type (arrays, maps, structs) have no known width."""
     widths = []
     for f in df.schema:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -70,22 +71,35 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, widths)
 
 
+def _nested(df: DataFrame) -> bool:
+    return any(
+        not isinstance(f.dataType, T.AtomicType) or isinstance(f.dataType, T.VariantType)
+        for f in df.schema
+    )
+
+
 def payload_bytes(frames: Sequence[DataFrame]) -> list[int]:
-    """Uncompressed size of each frame, measured over all its rows in one job."""
+    """Uncompressed size of each frame, measured over all its rows in one job.
+
+    A frame with nested columns counts as larger than any limit.
+    """
     rows = [
         df.select(F.lit(n).alias("n"), _row_bytes(df).cast("bigint").alias("size"))
         for n, df in enumerate(frames)
+        if not _nested(df)
     ]
+    if not rows:
+        return [_UNMEASURED] * len(frames)
     sizes = reduce(DataFrame.unionByName, rows).groupBy("n").agg(F.sum("size"))
     # One row per frame that has rows.
     found = dict(sizes.collect())
-    return [found.get(n, 0) for n in range(len(frames))]
+    return [_UNMEASURED if _nested(df) else found.get(n, 0) for n, df in enumerate(frames)]
 
 
 def broadcast_if_small(members: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``members`` with a broadcast hint if its measured size allows it, else unchanged."""
+    """``members`` with a hint by its measured size: to be broadcast, or else to be merged."""
     [size] = payload_bytes([members])
-    return F.broadcast(members) if size <= broadcast_bytes else members
+    return F.broadcast(members) if size <= broadcast_bytes else members.hint("merge")
 
 
 def _hot_keys(
@@ -94,17 +108,11 @@ def _hot_keys(
     """Keys with more than a ``1/parts`` share of the rows, and over how many salts to spread each.
 
     Such keys number about ``parts`` at most, and the salts of all together
-    ``(1 + _FINER) * parts``, whatever the data. Shares decide only how rows are
-    spread, never which rows are joined: every row is. So for a large table they
-    are estimated from enough rows to see such a key a thousand times, as
-    counting near-unique keys of all rows would shuffle the table once more.
+    ``(1 + _FINER) * parts``, whatever the data. Every row is counted; counts are
+    added up on each task first, so what is shuffled is a row per key and task.
     """
     columns = rows.select(*(F.col(key).alias(name) for key, name in zip(keys, names)))
-    total = max(rows.count(), 1)
-    fraction = max(_SEEN_PER_HOT_KEY * parts, _SEEN_AT_LEAST) / total
-    if fraction < 1:
-        columns, total = columns.sample(fraction, seed=0), total * fraction
-    shares = F.col("__n") / F.lit(total) * parts
+    shares = F.col("__n") / F.lit(max(rows.count(), 1)) * parts
     hot = (
         columns.where(reduce(and_, (F.col(name).isNotNull() for name in names)))
         .groupBy(*names)
@@ -113,7 +121,7 @@ def _hot_keys(
         .select(*names, F.ceil(shares * _FINER).cast("int").alias(copies))
     )
     # Stored, because both sides of the join use it and must use the same keys.
-    return store(hot, fresh_folder(rows.sparkSession, "hot"))
+    return store(hot, fresh_folder(rows.sparkSession, "hot", passing=True))
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -143,7 +151,7 @@ def _spread_join(
         .drop(*names, copies)
     )
     matched = _same(lookup.keys, probe) & (F.col(_SALT) == F.col("__probe_salt"))
-    return salted.join(copied, matched, how).drop(_SALT, "__probe_salt")
+    return salted.join(copied.hint("merge"), matched, how).drop(_SALT, "__probe_salt")
 
 
 def _salts(copies: Column) -> Column:

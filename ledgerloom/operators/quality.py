@@ -127,8 +127,9 @@ def orphan_count(
 ) -> DataFrame:
     """How many rows :func:`orphan_rows` has.
 
-    Rows are counted per key before the join, so the join sees each key once
-    and a key with very many rows is no more work than any other.
+    Rows are counted per key before a shuffled join, so that it sees each key once
+    and a key with very many rows is no more work than any other. With a broadcast
+    Spark may count after the join instead, which shuffles no more.
     """
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     known = broadcast_if_small(members.select(key), broadcast_bytes=broadcast_bytes)

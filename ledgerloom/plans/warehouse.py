@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,14 @@ from ledgerloom.plans import marts, star
 from ledgerloom.plans.names import COLUMNS, VIEWS
 from ledgerloom.sources.delimited import read_delimited
 from ledgerloom.sources.layouts import CANDIDATES, ELECTORATE, EXPENSES, Layout
-from ledgerloom.sources.tables import create_database, register_view, save_table, save_view, store
+from ledgerloom.sources.tables import (
+    create_database,
+    register_view,
+    save_table,
+    save_view,
+    store,
+    without_intermediates,
+)
 
 GOLD = ["dim_candidate", "dim_state", "dim_category", "dim_date", "fact_expense", "flat_mart"]
 
@@ -84,25 +91,29 @@ class Warehouse:
 
     # Gold: star schema and marts.
 
-    def _saved(self, name: str, df: DataFrame) -> DataFrame:
-        return save_table(df, self.database, name)
+    def _saved(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with without_intermediates(self.spark):
+            return save_table(build(), self.database, name)
 
     @cached_property
     def dim_candidate(self) -> DataFrame:
-        return self._saved("dim_candidate", star.candidate_dimension(self.silver_candidates))
+        candidates = self.silver_candidates
+        return self._saved("dim_candidate", lambda: star.candidate_dimension(candidates))
 
     @cached_property
     def dim_state(self) -> DataFrame:
-        states = star.state_dimension(self.silver_expenses, self.silver_electorate)
-        return self._saved("dim_state", states)
+        expenses, electorate = self.silver_expenses, self.silver_electorate
+        return self._saved("dim_state", lambda: star.state_dimension(expenses, electorate))
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return self._saved("dim_category", star.category_dimension(self.silver_expenses))
+        expenses = self.silver_expenses
+        return self._saved("dim_category", lambda: star.category_dimension(expenses))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._saved("dim_date", star.date_dimension(self.silver_expenses))
+        expenses = self.silver_expenses
+        return self._saved("dim_date", lambda: star.date_dimension(expenses))
 
     @cached_property
     def dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -110,15 +121,17 @@ class Warehouse:
 
     @cached_property
     def flat_mart(self) -> DataFrame:
-        flat = marts.flat_from_expenses(
-            self.silver_expenses, *self.dimensions, broadcast_bytes=self.broadcast_bytes
+        expenses, dimensions, limit = self.silver_expenses, self.dimensions, self.broadcast_bytes
+        return self._saved(
+            "flat_mart",
+            lambda: marts.flat_from_expenses(expenses, *dimensions, broadcast_bytes=limit),
         )
-        return self._saved("flat_mart", flat)
 
     @cached_property
     def fact_expense(self) -> DataFrame:
         """Six columns of the flat mart, so no dimension is joined a second time."""
-        return self._saved("fact_expense", self.flat_mart.select(*marts.FACT_COLUMNS))
+        flat = self.flat_mart
+        return self._saved("fact_expense", lambda: flat.select(*marts.FACT_COLUMNS))
 
     @property
     def state_mart(self) -> DataFrame:

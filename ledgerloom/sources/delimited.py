@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The file format of the public extracts.
@@ -48,6 +49,20 @@ def read_delimited(
     return reader.csv(path)
 
 
+# Characters that an encoding cannot hold; None: it holds all.
+_BEYOND = {"ISO-8859-1": r"[^\x00-\xff]", "US-ASCII": r"[^\x00-\x7f]", "UTF-8": None}
+
+
+def _checked(column: str, encoding: str) -> Column:
+    """The column, or an error that names it for a text that would not be read back as it is."""
+    value = F.col(f"`{column}`")
+    broken = value.rlike(r"[\r\n]")
+    if _BEYOND[encoding]:
+        broken = broken | value.rlike(_BEYOND[encoding])
+    told = F.lit(f"column {column}: empty text, a line end, or a character beyond {encoding}")
+    return F.when((value == "") | broken, F.raise_error(told)).otherwise(value).alias(column)
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -56,9 +71,21 @@ def write_delimited(
     quote: str = QUOTE,
     encoding: str = ENCODING,
 ) -> None:
-    """Text files that :func:`read_delimited` reads back unchanged (all fields quoted)."""
+    """Text files that :func:`read_delimited` reads back as the same texts (all fields quoted).
+
+    Columns that are no text are written as Spark casts them. What the format cannot
+    hold ends the job with an error that names the column: empty text (it reads as
+    NULL), a line end inside a value (files are split at lines), a character that the
+    encoding lacks. Encodings: ISO-8859-1, US-ASCII and UTF-8.
+    """
+    if encoding not in _BEYOND:
+        raise ValueError(f"encoding {encoding}: one of {', '.join(_BEYOND)} is needed")
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    checked = df.select(
+        *(_checked(name, encoding) if name in texts else F.col(f"`{name}`") for name in df.columns)
+    )
     (
-        df.write.mode("overwrite")
+        checked.write.mode("overwrite")
         .options(
             header=True,
             sep=separator,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +27,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path of its own below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+# Folders of intermediates, one list for each block of without_intermediates() that is open.
+_passing: list[list[str]] = []
+
+
+def fresh_folder(spark: SparkSession, label: str, *, passing: bool = False) -> str:
+    """A path of its own below the shared folder.
+
+    ``passing`` marks what is only needed until the enclosing
+    :func:`without_intermediates` ends; outside of one it stays.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if passing and _passing:
+        _passing[-1].append(path)
+    return path
+
+
+@contextmanager
+def without_intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediates made inside, once what was made from them is stored.
+
+    After a failure as well: nothing reads them any more then.
+    """
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whichever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def store(df: DataFrame, path: str, *, find_by: str | None = None) -> DataFrame:

@@ -149,14 +149,20 @@ def test_hot_keys_do_not_end_in_one_task(spark, skewed, members):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_shares_from_a_part_of_the_rows_change_no_result(monkeypatch, skewed, members):
-    monkeypatch.setattr(lookup, "_SEEN_PER_HOT_KEY", 10)
-    monkeypatch.setattr(lookup, "_SEEN_AT_LEAST", 10)
-    found = resolve(skewed, [Lookup(members, {"k": "m"}, {"n": "name"})], broadcast_bytes=0)
-    expected = skewed.join(members, F.col("k") == F.col("m"), "left").select("k", "t", "name")
-    assert bag(found) == bag(expected)
+def test_hot_keys_are_counted_over_all_rows(skewed):
     hot = lookup._hot_keys(skewed, ["k"], ["key"], "copies", 8).collect()
-    assert 7 in {row["key"] for row in hot}
+    shares = {r["k"]: r["n"] for r in skewed.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    total = sum(shares.values())
+    expected = {k for k, n in shares.items() if k is not None and n * 8 > total}
+    assert {row["key"] for row in hot} == expected
+
+
+def test_nested_columns_are_larger_than_any_limit(spark):
+    plain = spark.range(10).selectExpr("id", "'x' AS name")
+    nested = plain.selectExpr("id", "array_repeat(name, 100000) AS names")
+    assert lookup.payload_bytes([plain, nested])[0] == 10 * (16 + 17)
+    assert lookup.payload_bytes([plain, nested])[1] > 1 << 50
+    assert lookup.payload_bytes([nested])[0] > 1 << 50
 
 
 def test_payload_counts_text_and_fixed_columns(spark):

@@ -2,6 +2,7 @@
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.checks import registry
 from ledgerloom.plans import marts, questions, star
 from ledgerloom.plans.warehouse import Warehouse
-from ledgerloom.sources.tables import fresh_folder
+from ledgerloom.sources.tables import fresh_folder, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -206,3 +207,20 @@ def test_entry(spark):
 
     assert contract.entry(spark).columns == ["state", "total_expenses"]
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_a_load_leaves_no_intermediates(spark, tmp_path, limit):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    paths = {
+        "candidates": write(tmp_path, "candidates", CANDIDATES),
+        "expenses": write(tmp_path, "expenses", EXPENSES),
+        "electorate": write(tmp_path, "electorate", ELECTORATE),
+    }
+    before = set(shared.iterdir())
+    folder = fresh_folder(spark, "clean")
+    w = Warehouse(spark, paths, folder, f"clean_{limit}", broadcast_bytes=limit)
+    assert len(w.gold()) == 6 and w.flat_mart.count() == 9
+    assert set(shared.iterdir()) - before == {shared / folder.rsplit("/", 1)[1]}
+    made = {p.name for p in (shared / folder.rsplit("/", 1)[1]).iterdir()}
+    assert made == {"silver", f"clean_{limit}"}

@@ -5,8 +5,10 @@ import re
 import pytest
 
 from ledgerloom.checks import registry
-from ledgerloom.operators import quality
+from ledgerloom.operators import quality, ranking
+from ledgerloom.operators.lookup import Lookup, resolve
 from ledgerloom.plans import marts, questions, star
+from ledgerloom.sources.tables import fresh_folder, store
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -60,6 +62,43 @@ def test_large_dimensions_are_not_broadcast(spark, w, plan):
     assert text.count("BroadcastHashJoin") == 8
 
 
+@pytest.fixture(scope="module")
+def compressible(spark):
+    """Members of 20 MB that are some hundred KB as files, far below Spark's own threshold."""
+    members = spark.range(100_000).selectExpr("id AS m", "repeat('same text ', 20) AS name")
+    return store(members, fresh_folder(spark, "compressible"))
+
+
+@pytest.mark.parametrize("skewed", [False, True])
+def test_the_limit_holds_for_tables_that_compress_well(spark, compressible, skewed):
+    key = "IF(id % 3 = 0, 7, id)" if skewed else "id"
+    rows = store(spark.range(300_000).selectExpr(f"{key} AS k"), fresh_folder(spark, "rows"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) == 10 << 20
+    found = resolve(rows, [Lookup(compressible, {"k": "m"}, {"n": "name"})], broadcast_bytes=1 << 20)
+    text = executed(found)
+    assert "SortMergeJoin" in text
+    # Broadcast are the hot keys alone, which have no text.
+    assert not re.search(r"BroadcastExchange[^\n]*\n[^\n]*name#", text)
+    assert len(re.findall("BroadcastHashJoin|BroadcastNestedLoopJoin", text)) <= 2
+    text = executed(quality.orphan_count(rows.withColumnRenamed("k", "m"), compressible, "m", broadcast_bytes=1000))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def executed(df):
+    """The plan that ran, after all that was decided at run time."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[text.index("Final Plan") : text.index("Initial Plan")]
+
+
+def test_unordered_previews_stop_reading(w, plan):
+    show = ["expense_id", "detail"]
+    text = plan(quality.sample_with_value(w.silver_expenses, "expense_id", -1, show, 10))
+    assert "CollectLimit" in text and "Sort" not in text and "TakeOrdered" not in text
+    text = plan(ranking.preview(w.fact_expense, 10))
+    assert "CollectLimit" in text and "Sort" not in text
+
+
 def test_state_mart_sums_before_it_joins(w, plan):
     text = plan(w.state_mart)
     join, partial = text.index("Join"), text.index("partial_sum")

@@ -11,6 +11,7 @@ from ledgerloom.sources.tables import (
     save_table,
     shared_folder,
     store,
+    without_intermediates,
 )
 
 LINES = [
@@ -35,6 +36,43 @@ def rows(df):
 EXPECTED = [("1", None, "São Paulo"), ("2", None, "a;b"), ("3", 'A "q" x', " spaces ")]
 
 
+@pytest.mark.parametrize("value", ["a\nb", "a\rb", "", "\n", "日", "a – b"])
+@pytest.mark.parametrize("encoding", ["ISO-8859-1", "UTF-8", "US-ASCII"])
+def test_what_is_written_reads_back_or_is_refused(spark, tmp_path, value, encoding):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([("x", 1, value), ("y", 2, None)], "A string, B int, `C d` string")
+    lost = value == "" or "\n" in value or "\r" in value or encoding != "UTF-8"
+    if lost:
+        with pytest.raises(Exception, match="column C d: "):
+            write_delimited(df, path, encoding=encoding)
+    else:
+        write_delimited(df, path, encoding=encoding)
+        assert rows(read_delimited(spark, path, encoding=encoding)) == [("x", "1", value), ("y", "2", None)]
+
+
+def test_an_encoding_that_is_not_known_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="EBCDIC"):
+        write_delimited(spark.range(1), str(tmp_path / "out"), encoding="EBCDIC")
+
+
+def test_intermediates_go_when_their_block_ends(spark):
+    kept = fresh_folder(spark, "kept", passing=True)
+    store(spark.range(3), kept)
+    paths = []
+    with pytest.raises(RuntimeError):
+        with without_intermediates(spark):
+            for passing in (True, False):
+                paths.append(fresh_folder(spark, "some", passing=passing))
+                store(spark.range(3), paths[-1])
+            raise RuntimeError
+    files = spark._jvm.org.apache.hadoop.fs
+    there = []
+    for path in [kept, *paths]:
+        target = files.Path(path)
+        there.append(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+    assert there == [True, False, True]
+
+
 def test_read(spark, extract):
     df = read_delimited(spark, extract)
     assert set(dict(df.dtypes).values()) == {"string"}
