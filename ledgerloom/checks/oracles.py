@@ -5,6 +5,8 @@ Written straight from the test tables, without text, parsers or stored steps.
 
 from __future__ import annotations
 
+from ledgerloom.plans.names import COLUMNS, VIEWS
+
 EXP = """
 exp AS (
   SELECT CASE WHEN l_quantity = 50 THEN -1 ELSE l_orderkey END AS expense_id,
@@ -205,7 +207,86 @@ def _profile(table: str, key: str, columns: str, sentinel: str | None, negative:
     return " UNION ALL ".join(branches)
 
 
+_ENGLISH = {view: source for view, source in _VIEWS.items() if view != "eleitorado_bronze"}
+
+
+def _columns(views: dict[str, str]) -> str:
+    """Values and different values of every column of the views, under their Portuguese names."""
+    branches = []
+    for view, source in views.items():
+        table = next(name for name, shown in VIEWS.items() if shown == view)
+        for column in _COLUMNS_OF[table]:
+            branches.append(
+                f"SELECT '{view}' AS view_name, '{COLUMNS.get(column, column)}' AS column_name, "
+                f"count({column}) AS filled, count(DISTINCT {column}) AS differing FROM {source}"
+            )
+    return " UNION ALL ".join(branches)
+
+
+_ELECTORATE_COLUMNS = (
+    "generated_on state town_code town zone gender marital_status age_band schooling race "
+    "voting_duty voters voters_biometrics voters_disability voters_social_name"
+).split()
+_COLUMNS_OF = {
+    "silver_expenses": "expense_id candidate_id state category detail amount expense_date".split(),
+    "silver_candidates": "candidate_id candidate party office state".split(),
+    "silver_electorate": _ELECTORATE_COLUMNS,
+    "dim_candidate": "candidate_id candidate party office state".split(),
+    "dim_state": "state_key state total_voters".split(),
+    "dim_category": "category_key category detail".split(),
+    "dim_date": "date_key expense_date year month day quarter".split(),
+    "fact_expense": "expense_id candidate_id state_key category_key date_key amount".split(),
+    "state_mart": "state_key state total_voters total_expenses".split(),
+    "flat_mart": (
+        "expense_id candidate_id candidate party office state_key state total_voters category_key "
+        "category detail date_key expense_date year month day quarter amount"
+    ).split(),
+}
+_MART = f"""(SELECT state_key, state, total_voters, {_TOTAL} AS total_expenses
+             FROM fact JOIN states USING (state_key) WHERE state <> 'BR'
+             GROUP BY state_key, state, total_voters) AS mart"""
+
+
 def build() -> dict[str, str]:
+    plain = _plain()
+    # Other ways to the same rows.
+    same = {
+        "dq_orphan_count_shuffled": "dq_orphan_count",
+        "dq_orphan_rows_shuffled": "dq_orphan_rows",
+        "fact_shuffled": "fact_expense",
+        "flat_shuffled": "flat_mart",
+        "dim_category_ranges": "dim_category",
+        "sql_q1": "q1_top_states",
+        "sql_q1_1": "q1_1_top_candidates",
+        "sql_q2": "q2_top_categories",
+        "sql_q2_1": "q2_1_top_descriptions",
+        "sql_q3": "q3_cost_per_voter",
+        "sql_duplicate_ids": "dq_duplicate_ids",
+        "sql_orphans": "dq_orphan_count",
+    }
+    views = _ENGLISH | {"gold_estado": _MART}
+    published = {view: source for view, source in views.items() if view in _PUBLISHED}
+    return plain | {name: plain[other] for name, other in same.items()} | {
+        "sql_view_columns": _star(_columns(views)),
+        "published_columns": _star(_columns(published)),
+        "dq_sentinel_unordered": _exp(
+            """SELECT least(count(*), 10) AS rows_shown, least(count(*), 10) AS rows_that_fit
+               FROM exp WHERE expense_id = -1"""
+        ),
+        "dq_drilldown_unordered": f"""
+            SELECT least(count(*), 1) AS rows_shown, least(count(*), 1) AS rows_that_fit
+            FROM ({_RAW_ELECTORATE}) AS found""",
+        "preview_unordered": _star(
+            """SELECT least(count(*), 20) AS rows_shown, least(count(*), 20) AS rows_that_fit
+               FROM fact"""
+        ),
+    }
+
+
+_PUBLISHED = [VIEWS[name] for name in _TABLES]
+
+
+def _plain() -> dict[str, str]:
     return {
         "src_delimited": _exp(
             f"""SELECT state, category, count(*) AS row_count, count(expense_date) AS dated_rows,
@@ -218,7 +299,9 @@ def build() -> dict[str, str]:
             WITH signed AS (
               SELECT l_returnflag, l_linestatus,
                      CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 12345 AS DECIMAL(18,2))
-                     * (CASE WHEN l_linestatus = 'F' THEN -1 ELSE 1 END) AS amount
+                     * (CASE WHEN l_linestatus = 'F' THEN -1 ELSE 1 END)
+                     + (CASE WHEN l_quantity % 5 <> 0 THEN 0 WHEN l_linestatus = 'F' THEN -1 ELSE 1 END)
+                       * CAST(0.01 AS DECIMAL(18,2)) AS amount
               FROM lineitem)
             SELECT l_returnflag, l_linestatus, count(amount) AS readable,
                    CAST(sum(amount) AS DECIMAL(28,2)) AS total,

@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as fn
 from ledgerloom.operators import quality, ranking
 from ledgerloom.operators.standardize import standardize
+from ledgerloom.operators.keys import dense_key
 from ledgerloom.plans import marts, questions, star
+from ledgerloom.plans.names import COLUMNS, VIEWS
 from ledgerloom.plans.warehouse import GOLD, Warehouse
 from ledgerloom.sources import sample
 from ledgerloom.sources.delimited import read_delimited
@@ -34,6 +36,9 @@ from ledgerloom.sources.tables import fresh_folder, list_tables
 LOOKED_UP_EXPENSE = 1102
 DRILL_STATE, DRILL_TOWN, DRILL_ZONE = " nation_17 ", 7, 0
 
+# Rows that the previews without an order show.
+SENTINELS_SHOWN, DRILL_SHOWN, PREVIEWED = 10, 1, 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -107,7 +112,9 @@ def scalar_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts up to ten digits as Brazilian text and back, negative ones too."""
     factor = F.when(F.col("l_linestatus") == "F", -12345).otherwise(12345).cast("decimal(5,0)")
     signed = F.col("l_extendedprice").cast("decimal(9,2)") * factor
-    text = F.concat(F.lit(" "), fn.amount_text_ptbr(signed.cast("decimal(18,2)")))
+    # Every fifth quantity has a third decimal, which rounds half up.
+    third = F.when(F.col("l_quantity") % 5 == 0, "5").otherwise("")
+    text = F.concat(F.lit(" "), fn.amount_text_ptbr(signed.cast("decimal(18,2)")), third)
     return (
         sample.table(spark, sf_dir, "lineitem")
         .select("l_returnflag", "l_linestatus", fn.amount_ptbr(text).alias("amount"))
@@ -278,6 +285,55 @@ def dq_profile_candidates(w: Warehouse) -> DataFrame:
     return quality.profile(w.silver_candidates, "candidate_id")
 
 
+@on_warehouse
+def dq_orphan_count_shuffled(w: Warehouse) -> DataFrame:
+    """As with more candidates than may be broadcast."""
+    return quality.orphan_count(
+        w.silver_expenses, w.silver_candidates, "candidate_id", broadcast_bytes=0
+    )
+
+
+@on_warehouse
+def dq_orphan_rows_shuffled(w: Warehouse) -> DataFrame:
+    return quality.orphan_rows(
+        w.silver_expenses, w.silver_candidates, "candidate_id", broadcast_bytes=0
+    )
+
+
+@on_warehouse
+def dq_sentinel_unordered(w: Warehouse) -> DataFrame:
+    """Any ten rows with the value: which ones is open, how many and that they have it is not."""
+    show = ["expense_id", "expense_date", "amount", "detail"]
+    found = quality.sample_with_value(
+        w.silver_expenses, "expense_id", MISSING_EXPENSE_ID, show, SENTINELS_SHOWN
+    )
+    return _shown(found, F.col("expense_id") == MISSING_EXPENSE_ID)
+
+
+@on_warehouse
+def dq_drilldown_unordered(w: Warehouse) -> DataFrame:
+    found = quality.drill_down(
+        w.raw_electorate,
+        {"SG_UF": DRILL_STATE},
+        {"CD_MUNICIPIO": DRILL_TOWN, "NR_ZONA": DRILL_ZONE},
+        DRILL_SHOWN,
+    )
+    there = (F.trim("SG_UF") == DRILL_STATE.strip()) & (F.col("CD_MUNICIPIO") == str(DRILL_TOWN))
+    return _shown(found, there & (F.col("NR_ZONA") == str(DRILL_ZONE)))
+
+
+@on_warehouse
+def preview_unordered(w: Warehouse) -> DataFrame:
+    """Any twenty rows of the fact; every one of them has a key of the candidate dimension."""
+    return _shown(ranking.preview(w.fact_expense, PREVIEWED), F.col("candidate_id").isNotNull())
+
+
+def _shown(found: DataFrame, fits: Column) -> DataFrame:
+    return found.agg(
+        F.count(F.lit(1)).alias("rows_shown"), F.count_if(fits).alias("rows_that_fit")
+    )
+
+
 # Star schema, marts, saved tables.
 
 
@@ -318,6 +374,24 @@ def flat_from_fact(w: Warehouse) -> DataFrame:
     return marts.flat_mart(w.fact_expense, *w.dimensions)
 
 
+@on_warehouse
+def fact_shuffled(w: Warehouse) -> DataFrame:
+    """The fact as with dimensions that are all too large to be broadcast."""
+    return star.expense_fact(w.silver_expenses, *w.dimensions, broadcast_bytes=0)
+
+
+@on_warehouse
+def flat_shuffled(w: Warehouse) -> DataFrame:
+    return marts.flat_from_expenses(w.silver_expenses, *w.dimensions, broadcast_bytes=0)
+
+
+@on_warehouse
+def dim_category_ranges(w: Warehouse) -> DataFrame:
+    """Dense keys over a member list that is cut into several sorted ranges."""
+    members = w.silver_expenses.select("category", "detail").distinct()
+    return dense_key(members, ["category", "detail"], "category_key", ranges=7)
+
+
 @on_warehouse
 def state_mart(w: Warehouse) -> DataFrame:
     return w.state_mart
@@ -352,6 +426,120 @@ def registered_views(w: Warehouse) -> DataFrame:
     return w.spark.sql(" UNION ALL ".join(counts))
 
 
+def _filled(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
+    """SQL that reads every column of the named relations: how many values each has, and how many differ."""
+    counts = (
+        f"SELECT '{name}' AS view_name, '{column}' AS column_name, COUNT({column}) AS filled, "
+        f"COUNT(DISTINCT {column}) AS differing FROM {relation}"
+        for relation, own in columns.items()
+        for name in [relation.rsplit(".", 1)[-1].strip("`")]
+        for column in own
+    )
+    return spark.sql(" UNION ALL ".join(counts))
+
+
+@on_warehouse
+def sql_view_columns(w: Warehouse) -> DataFrame:
+    """Every column of the typed and the star views by its Portuguese name."""
+    w.register_views()
+    return _filled(
+        w.spark,
+        {
+            view: [COLUMNS.get(column, column) for column in getattr(w, name).columns]
+            for name, view in VIEWS.items()
+            if name != "raw_electorate"
+        },
+    )
+
+
+@on_warehouse
+def published_columns(w: Warehouse) -> DataFrame:
+    """The same for the six views that publishing leaves in a database of the catalog."""
+    database = f"{w.database}_published"
+    w.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = dict(zip(w.publish(database), GOLD, strict=True))
+    return _filled(
+        w.spark,
+        {
+            view: [COLUMNS.get(column, column) for column in getattr(w, name).columns]
+            for view, name in names.items()
+        },
+    )
+
+
+def _sql_on_views(text: str) -> Callable[[Warehouse], DataFrame]:
+    def run(w: Warehouse) -> DataFrame:
+        w.register_views()
+        return w.spark.sql(text)
+
+    return run
+
+
+_SQL = {
+    "sql_q1": """
+        SELECT ESTADO AS state, SUM(VALOR_DESPESA) AS total_expenses
+        FROM gold_despesa_analitica WHERE ESTADO <> 'BR'
+        GROUP BY ESTADO ORDER BY total_expenses DESC NULLS LAST, state LIMIT 5""",
+    "sql_q1_1": """
+        WITH leaders AS (
+          SELECT ESTADO FROM gold_despesa_analitica WHERE ESTADO <> 'BR'
+          GROUP BY ESTADO ORDER BY SUM(VALOR_DESPESA) DESC NULLS LAST, ESTADO LIMIT 5
+        ),
+        spent AS (
+          SELECT ESTADO, ID_CANDIDATO, CANDIDATO, PARTIDO, CARGO, SUM(VALOR_DESPESA) AS total
+          FROM gold_despesa_analitica WHERE ESTADO IN (SELECT ESTADO FROM leaders)
+          GROUP BY ALL
+        ),
+        placed AS (
+          SELECT *, ROW_NUMBER() OVER (
+            PARTITION BY ESTADO ORDER BY total DESC NULLS LAST, ID_CANDIDATO, CANDIDATO) AS place
+          FROM spent
+        )
+        SELECT ESTADO AS state, CAST(place AS BIGINT) AS rank, ID_CANDIDATO AS candidate_id,
+               CANDIDATO AS candidate, PARTIDO AS party, CARGO AS office, total AS total_expenses
+        FROM placed WHERE place <= 3""",
+    "sql_q2": """
+        SELECT CATEGORIA_DESPESA AS category, SUM(VALOR_DESPESA) AS total_expenses
+        FROM gold_despesa_analitica GROUP BY CATEGORIA_DESPESA
+        ORDER BY total_expenses DESC NULLS LAST, category NULLS FIRST LIMIT 3""",
+    "sql_q2_1": """
+        WITH leaders AS (
+          SELECT CATEGORIA_DESPESA FROM gold_despesa_analitica GROUP BY CATEGORIA_DESPESA
+          ORDER BY SUM(VALOR_DESPESA) DESC NULLS LAST, CATEGORIA_DESPESA NULLS FIRST LIMIT 3
+        ),
+        spent AS (
+          SELECT CATEGORIA_DESPESA, DESPESA_DETALHADA, SUM(VALOR_DESPESA) AS total
+          FROM gold_despesa_analitica JOIN leaders USING (CATEGORIA_DESPESA)
+          GROUP BY ALL
+        )
+        SELECT CATEGORIA_DESPESA AS category, CAST(place AS BIGINT) AS rank,
+               DESPESA_DETALHADA AS detail, total AS total_expenses
+        FROM (SELECT *, ROW_NUMBER() OVER (
+                PARTITION BY CATEGORIA_DESPESA
+                ORDER BY total DESC NULLS LAST, DESPESA_DETALHADA NULLS FIRST) AS place
+              FROM spent) WHERE place <= 3""",
+    "sql_q3": """
+        SELECT ESTADO AS state, SUM(VALOR_DESPESA) AS total_expenses,
+               MAX(TOTAL_ELEITORES) AS total_voters,
+               ROUND(SUM(VALOR_DESPESA) / NULLIF(MAX(TOTAL_ELEITORES), 0), 2) AS expenses_per_voter
+        FROM gold_despesa_analitica WHERE ESTADO <> 'BR' GROUP BY ESTADO""",
+    "sql_duplicate_ids": """
+        SELECT ID_DESPESA AS expense_id, COUNT(*) AS row_count
+        FROM despesas_silver WHERE ID_DESPESA <> -1
+        GROUP BY ID_DESPESA HAVING COUNT(*) > 1
+        ORDER BY row_count DESC, expense_id LIMIT 20""",
+    "sql_orphans": """
+        SELECT COUNT(*) AS orphan_rows
+        FROM despesas_silver d LEFT ANTI JOIN candidatos_silver c
+          ON d.ID_CANDIDATO = c.ID_CANDIDATO""",
+}
+
+for _name, _text in _SQL.items():
+    _run = _sql_on_views(_text)
+    _run.__name__ = _name
+    on_warehouse(_run)
+
+
 # Questions.
 
 
