@@ -18,8 +18,6 @@ def local_session(cores: int | None = None, **settings: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
-        # A shuffled reference table whose partitions turn out this small is hashed, not sorted.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.checkpoint.dir", f"{scratch}/shared")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.local.dir", f"{scratch}/local")
