@@ -32,7 +32,45 @@ def query(make: Query) -> Query:
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: five words, similarity 0.75."""
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("class")
+
+
+ORACLES["op8_ngram_jaccard_join"] = r"""
+WITH RECURSIVE
+split AS (
+    SELECT doc_id, string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+') AS parts
+    FROM documents
+),
+words AS (SELECT doc_id, [p FOR p IN parts IF p <> ''] AS w FROM split),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM words WHERE len(w) >= 5)
+    UNION
+    SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+meets AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT a, b FROM meets m JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * m.n >= 75 * (x.n + y.n - m.n)
+),
+reach(doc_id, other) AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+       least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id
+FROM documents d
+LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
+"""
 
 
 @query
