@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.hashed_words import set_hashes, shingle_sets, sliced, word_hashes
-from ledgerloom.llm.shared import Scratch, partitions, scratch
+from ledgerloom.llm.shared import Scratch, broadcast_if_few, partitions, scratch
 
 WIDTH = 5
 PERCENT = 75
@@ -371,11 +371,8 @@ def similar_links(alive: DataFrame, work: Scratch, percent: int = PERCENT) -> Da
         .groupBy("component")
         .agg(F.max_by("part", F.struct("count", "part")).alias("most"))
     )
-    rest = work.store(
-        large.join(F.broadcast(most) if most.limit(10_001).count() <= 10_000 else most, "component")
-        .where("part != most and own > 0")
-        .drop("most")
-    )
+    rest = large.join(broadcast_if_few(work.store(most)), "component").where("part != most and own > 0")
+    rest = work.store(rest.drop("most"))
     few = rest.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("chunks"))
     rest = rest.join(few, "component").withColumn(
         "chunk", F.pmod(F.xxhash64("class", F.lit(1)), F.col("chunks"))
