@@ -22,31 +22,31 @@ PLAIN = 5
 LEAST_WORDS = 13
 
 # A word with a capital inside a sentence, numbers, units (after a number, anywhere).
-NAME = r"(?<=[\p{Ll}\p{Nd},;] )\p{Lu}[\p{L}\p{M}'’-]*"
+NAME = r" (?<=[\p{Ll}\p{Nd},;] )\p{Lu}[\p{L}\p{M}'’-]*"
 NUMBER = r"[+-]?\d+(?:[.,:/]\d+)*"
 SHORT_UNITS = "mm|cm|dm|km|m|mg|kg|g|t|ml|cl|l|ms|s|min|h|hz|khz|mhz|kb|mb|gb|tb|w|kw|kwh|v|a|mph|kmh|ft|in|lb|oz"
 LONG_UNITS = (
-    "meters?|metres?|kilometers?|kilometres?|centimeters?|centimetres?|miles?|feet|inch|inches|yards?"
-    "|grams?|kilograms?|pounds?|ounces?|tons?|tonnes?|liters?|litres?|gallons?"
-    "|seconds?|minutes?|hours?|days?|weeks?|months?|years?|degrees?|percent|dollars?|euros?|cents?"
-)
+    "meter meters metre metres kilometer kilometers kilometre kilometres centimeter centimeters centimetre"
+    " centimetres mile miles feet inch inches yard yards gram grams kilogram kilograms pound pounds ounce ounces"
+    " ton tons tonne tonnes liter liters litre litres gallon gallons second seconds minute minutes hour hours"
+    " day days week weeks month months year years degree degrees percent dollar dollars euro euros cent cents"
+).split()
 AFTER_NUMBER = rf"(?i)(?<=<num>)(\s?)(?:{SHORT_UNITS}|[%°$€£])(?![\p{{L}}\p{{N}}])"
-ANYWHERE = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{LONG_UNITS})(?![\p{{L}}\p{{N}}])"
 PLACEHOLDER = "<(?:num|name|unit)>"
 DROPPED = ".,;:!?\"()[]{}«»“”„¿¡"
 
 
 def _words(text: Column) -> Column:
-    plain = F.trim(F.regexp_replace(F.translate(F.lower(text), DROPPED, ""), r"\s+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    plain = F.btrim(F.translate(F.lower(text), DROPPED, ""), F.lit(" \t\n\x0b\f\r"))
+    return F.filter(F.split(plain, r"\s+"), lambda w: w != "")
 
 
 def template(text: Column) -> Column:
     """The words of a text with placeholders. It has as many words as the text, place by place."""
-    names = F.regexp_replace(text, NAME, "<name>")
+    names = F.regexp_replace(text, NAME, " <name>")
     numbers = F.regexp_replace(F.regexp_replace(names, NUMBER, "<num>"), AFTER_NUMBER, "$1<unit>")
-    some = F.when(text.rlike(r"\d"), numbers).otherwise(names)
-    return _words(F.regexp_replace(some, ANYWHERE, "<unit>"))
+    words = _words(F.when(text.rlike(r"\d"), numbers).otherwise(names))
+    return F.transform(words, lambda w: F.when(w.isin(LONG_UNITS), "<unit>").otherwise(w))
 
 
 def windows(words: str, width: int) -> Column:
@@ -115,14 +115,24 @@ def contaminated(
         .dropDuplicates(["copy"])  # equal texts have equal words
         .select("copy", _words(F.col("text")).alias("values"), template(F.col("text")).alias("words"))
     )
-    both = met.join(kept.store(again), "copy").join(broadcast_if_few(items), ["item_id", "item_text"])
-    n = F.col("last") - F.col("first") + width
-    begin = F.col("first") + 1
+    # Items and documents are wide, so neither is sent whole.
+    both = met.join(kept.store(again).hint("merge"), "copy").join(items.hint("merge"), ["item_id", "item_text"])
+    # The place goes on, beyond the windows that met, for as long as the templates agree.
+    place = F.sequence(F.lit(0), F.size("item_words") - 1)
+    agrees = lambda k: F.get("words", k + F.col("shift").cast("int")) == F.get("item_words", k)
+    both = both.withColumn("bad", F.filter(place, lambda k: ~F.coalesce(agrees(k), F.lit(False))))
+    stop = F.col("last") + width - 1
+    both = both.select(
+        "*",
+        (F.coalesce(F.array_max(F.filter("bad", lambda k: k < F.col("first"))), F.lit(-1)) + 1).alias("begin"),
+        F.coalesce(F.array_min(F.filter("bad", lambda k: k > stop)), F.size("item_words")).alias("end"),
+    )
+    n = F.col("end") - F.col("begin")
     there = F.arrays_zip(
-        F.slice("item_words", begin, n),
-        F.slice("words", begin + F.col("shift"), n),
-        F.slice("item_values", begin, n),
-        F.slice("values", begin + F.col("shift"), n),
+        F.slice("item_words", F.col("begin") + 1, n),
+        F.slice("words", F.col("begin") + 1 + F.col("shift"), n),
+        F.slice("item_values", F.col("begin") + 1, n),
+        F.slice("values", F.col("begin") + 1 + F.col("shift"), n),
     )
     slots = F.filter(there, lambda p: (p["0"] == p["1"]) & p["0"].rlike(PLACEHOLDER))
     return slots_consistent(both, slots, n)
@@ -131,7 +141,7 @@ def contaminated(
 def slots_consistent(both: DataFrame, slots: Column, n: Column) -> DataFrame:
     """Keeps places where item values and document values map to each other one to one."""
     both = both.select(
-        "doc_id", "item_id", (F.col("first") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
+        "doc_id", "item_id", (F.col("begin") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
         F.transform(slots, lambda p: F.struct(p["2"].alias("x"), p["3"].alias("y"))).alias("slots"),
     )
     pairs = F.size(F.array_distinct("slots"))
