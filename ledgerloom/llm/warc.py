@@ -7,9 +7,10 @@ stored bytes against their digests and joins both into the original records; ``w
 lays restored records out as WARC files.
 
 Records with equal payloads of at least ``LEAST`` bytes are one response, that of the largest
-page_id, and revisits that refer to it. Which record that is comes from sums over digests and
-page ids alone; payloads move once, on the way to their place in the archive, and no group of
-equal payloads ever meets in one task.
+page_id, and revisits that refer to it. Which record that is comes from maxima over digests and
+page ids alone. A payload that is there once goes straight to its place; the list of digests
+that are there more often goes to the payloads while it is short, and payloads move to it, once,
+when it is long. Equal payloads never meet: only the keeper's goes on.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.tables import fresh_folder
+from ledgerloom.llm.shared import broadcast_if_few
+from ledgerloom.sources.tables import fresh_folder, store
 
 LEAST = 1000
 
@@ -125,7 +127,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, *, least: int = L
     folder = folder or fresh_folder(spark, "warc")
     digested = _digested(pages)
     light = digested.select("page_id", "url", "digest", "sha1", "payload_bytes")
-    keepers = light.groupBy("digest").agg(F.max("page_id").alias("keeper"))
+    keepers = light.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
     records = light.join(keepers, "digest").withColumn(
         "record_type",
         F.when((F.col("payload_bytes") < least) | F.col("page_id").eqNullSafe(F.col("keeper")), "response").otherwise(
@@ -136,13 +138,16 @@ def write_archive(pages: DataFrame, folder: str | None = None, *, least: int = L
     records.select("digest", _header(date).alias("header")).write.mode("overwrite").option("compression", "zstd").parquet(
         f"{folder}/records"
     )
-    # One row of each digest brings the payload: the keeper's (its first, if rows repeat).
-    kept = keepers.select(F.col("digest").alias("key"), "keeper")
-    own = (F.col("digest") == F.col("key")) & F.col("page_id").eqNullSafe(F.col("keeper"))
-    bring = digested.select("page_id", "digest", "payload").join(kept.hint("shuffle_hash"), own, "left_semi")
-    bring.dropDuplicates(["digest", "page_id"]).select("digest", "payload").write.mode("overwrite").option(
-        "compression", "zstd"
-    ).parquet(f"{folder}/payloads")
+    # Of digests that occur more often, the keeper's row brings the payload (its first, if rows repeat).
+    rows = digested.select("page_id", "digest", "payload")
+    several = keepers.where("n > 1").select(F.col("digest").alias("key"), "keeper")
+    several = store(several, fresh_folder(spark, "warc-several"))
+    found = rows.join(broadcast_if_few(several), F.col("digest") == F.col("key"), "left")
+    alone = found.where("key IS NULL").select("digest", "payload")
+    if several.limit(1).count():
+        kept = found.where(F.col("key").isNotNull() & F.col("page_id").eqNullSafe(F.col("keeper")))
+        alone = alone.union(kept.select("digest", "payload").dropDuplicates(["digest"]))
+    alone.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
     return Archive(spark, folder)
 
 
