@@ -41,7 +41,7 @@ CHUNK = 1 << 16
 FAN = 32
 
 #: States and pieces that a worker remembers.
-STATES = 1_500_000
+STATES = 1_000_000
 PIECES = 500_000
 
 # Classes of the Latin-1 characters, the pattern of byte-level BPE.
@@ -79,7 +79,7 @@ class Transducer:
         self._compile()
 
     def _compile(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
+        self.next: dict[int, int] = {}  # by state * 256 + byte
         self.grows: list[int] = [0]
         self.last: list[bytes] = [b""]
 
@@ -116,14 +116,14 @@ class Transducer:
         A way's encoding ends with a token that follows the last token of the way
         without it; there is exactly one such token.
         """
-        if len(self.next) > STATES:
+        if len(self.last) > STATES:
             self._compile()
         next_, grows, last, tokens = self.next, self.grows, self.last, self.tokens
         state = total = 0
         way = [0]
         totals = [0]
         for at, byte in enumerate(piece):
-            found = next_[state].get(byte)
+            found = next_.get(state << 8 | byte)
             if found is None:
                 stop = at + 1
                 for begin in range(max(0, stop - self.longest), stop):
@@ -132,8 +132,7 @@ class Transducer:
                         self._follows(last[way[begin]], token) if begin else self.merge(token) == [token]
                     ):
                         break
-                found = next_[state][byte] = len(next_)
-                next_.append({})
+                found = next_[state << 8 | byte] = len(last)
                 grows.append(totals[begin] + 1 - total)
                 last.append(token)
             state = found
