@@ -123,7 +123,7 @@ def word_hashes(
     )
 
 
-def sliced(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes of text each, so that what is made of them stays small."""
     _, rows = text_bytes(batch.column(column))
     at = 0

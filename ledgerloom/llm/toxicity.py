@@ -16,6 +16,7 @@ calibrated on labelled documents of another fold.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,7 +79,8 @@ def shared_contexts(docs: DataFrame) -> list[np.ndarray]:
                 for table in (WORD, STEM5, STEM4):
                     seen[(table * CELLS + cells[table]) * KINDS + kind] = True
         if seen.any():
-            bits = [np.packbits(seen[k * size : (k + 1) * size]).tobytes() for k in range(SEGMENTS)]
+            # Most cells of a small task are empty, so the marks compress well.
+            bits = [zlib.compress(np.packbits(seen[k * size : (k + 1) * size]), 1) for k in range(SEGMENTS)]
             yield pa.RecordBatch.from_pydict(
                 {"segment": pa.array(range(SEGMENTS), pa.int32()), "bits": pa.array(bits, pa.binary())}
             )
@@ -87,7 +89,7 @@ def shared_contexts(docs: DataFrame) -> list[np.ndarray]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for segment, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(bits, np.uint8)
+                own = np.frombuffer(zlib.decompress(bits), np.uint8)
                 held[segment] = held[segment] | own if segment in held else own
         for segment, bits in held.items():
             kinds = np.unpackbits(bits).reshape(-1, KINDS).sum(axis=1).astype(np.uint8)
@@ -185,11 +187,12 @@ def _class_models(texts: DataFrame, shared: list[np.ndarray]) -> tuple[ClassMode
         F.least("n", F.lit(DISCOUNT)).alias("taken"),
     )
     pairs = F.col("table") == PAIR
+    # Without a filter on the table, so that both readers of the counts share one shuffle of them.
     by_context = (
-        split.where(pairs)
-        .groupBy("grade", F.shiftright("cell", BITS).alias("context"))
-        .agg(F.sum("n").alias("n"), F.sum("taken").alias("taken"))
+        split.groupBy("grade", F.shiftright("cell", BITS).alias("context"))
+        .agg(F.sum(F.when(pairs, F.col("n"))).alias("n"), F.sum(F.when(pairs, F.col("taken"))).alias("taken"))
         .select(F.lit(CONTEXT), "grade", "context", "n", "taken")
+        .where("n > 0")
     )
     # Eight tables of CELLS rows at most, and the sample's pairs that occur often.
     found = split.where(~pairs | (F.col("n") > DISCOUNT)).union(by_context).toArrow()
