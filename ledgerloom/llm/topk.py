@@ -178,13 +178,14 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = K, *, block: int = B
     )
 
     # 2. Every vector that some list puts at the threshold or above.
-    by_id = query_blocks.where("list = 0").select("block", "dims", F.posexplode("ids").alias("at", "query_id"))
+    # Each list holds a block's queries in an order of its own, so each has its own cutoffs.
+    by_id = query_blocks.select("block", "dims", "list", F.posexplode("ids").alias("at", "query_id"))
     in_order = (
         by_id.join(broadcast_if_few(cutoffs), "query_id")
-        .groupBy("block", "dims")
+        .groupBy("block", "dims", "list")
         .agg(F.array_sort(F.collect_list(F.struct("at", "cutoff")))["cutoff"].alias("cutoffs"))
     )
-    sent = query_blocks.join(in_order, ["block", "dims"])
+    sent = query_blocks.join(in_order, ["block", "dims", "list"])
     given = _met(sent, n_queries, row_blocks, n_rows).mapInPandas(_over_threshold, "query_id long, vec_id long")
 
     # 3. Exact scores of those.

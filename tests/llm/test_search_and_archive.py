@@ -39,6 +39,29 @@ def test_top_k_equals_brute_force_with_ties_copies_and_bad_vectors(spark, block)
     assert {tuple(r) for r in found.collect()} == brute_top(rows, topk.K)
 
 
+def test_top_k_whatever_the_order_of_a_block_in_each_list(spark, monkeypatch):
+    """Lists of a block are gathered apart, so shuffled blocks arrive in another order for each."""
+    plain = topk._blocks
+
+    def reordered(rows, id_, scratch, block):
+        found, n = plain(rows, id_, scratch, block)
+        out = []
+        for r in found.collect():
+            order = sorted(range(len(r["ids"])), key=lambda k: r["ids"][k], reverse=r["list"] == 1)
+            width = len(r["parts"]) // len(order)
+            parts = [x for k in order for x in r["parts"][k * width : (k + 1) * width]]
+            out.append((r["block"], r["dims"], r["list"], [r["ids"][k] for k in order], parts))
+        return spark.createDataFrame(out, found.schema), n
+
+    monkeypatch.setattr(topk, "_blocks", reordered)
+    rng = np.random.default_rng(4)
+    # Vectors of very different length, so that cutoffs differ from query to query.
+    rows = [(i * 20, (rng.normal(0, 1, 8) * 10 ** rng.uniform(-1, 1)).astype(np.float32).tolist()) for i in range(200)]
+    frame = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], EMBEDDINGS)
+    found = topk.top_k(frame, F.col("vec_id") % 100 == 0)
+    assert {tuple(r) for r in found.collect()} == brute_top(rows, topk.K)
+
+
 def test_top_k_of_an_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], EMBEDDINGS), F.col("vec_id") % 100 == 0).count() == 0
 
