@@ -2,10 +2,14 @@
 
 Numbers, names and units become typed placeholders, so a question with other values has the
 same template. Windows of ``WINDOW`` template words of benchmark items and documents meet
-in a hash join. Where enough windows of an item follow each other in a document, the values
-in the slots are compared: a question that was only given other values has one value in the
-document for each value of the item, and one in the item for each of the document. Values
-that go together otherwise belong to another question.
+in a hash join, once with placeholders for names and once with the names as lower-case words,
+so that neither case nor punctuation hides a copy. Where enough windows of an item follow each
+other in a document, the values in the slots are compared: a question that was only given other
+values has one value in the document for each value of the item. Values that go together
+otherwise belong to another question, unless ``VERBATIM`` words in a row are the item's own.
+
+Items without a window that is evidence (short ones, those of placeholders) are looked for as
+they are: all their words, values included, in a hash join of windows of their own length.
 """
 
 from __future__ import annotations
@@ -49,6 +53,13 @@ def template(text: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.isin(LONG_UNITS), "<unit>").otherwise(w))
 
 
+def folded(words: str, text: Column) -> Column:
+    """A template (a column) with its names as lower-case words, which hang on neither case nor punctuation."""
+    own = lambda w, v: F.when(w.contains("<name>"), F.regexp_replace(v, NUMBER, "<num>")).otherwise(w)
+    named = F.exists(words, lambda w: w.contains("<name>"))
+    return F.when(named, F.zip_with(words, _words(text), own))
+
+
 def windows(words: str, width: int) -> Column:
     """Hashes of all runs of ``width`` words of a column (an expression would be worked out for each run)."""
     at = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - width + 1)).otherwise(
@@ -61,10 +72,11 @@ def _items(benchmark: DataFrame) -> DataFrame:
     own = benchmark.where("text is not null").select("item_id", F.col("text").cast("string")).distinct()
     return own.select(
         "item_id",
+        "text",
         F.xxhash64("text").alias("item_text"),
         template(F.col("text")).alias("item_words"),
         _words(F.col("text")).alias("item_values"),
-    )
+    ).withColumn("item_folded", F.coalesce(folded("item_words", F.col("text")), "item_words"))
 
 
 def contaminated(
@@ -73,28 +85,57 @@ def contaminated(
     """``doc_id, item_id, first_word, n_words, n_slots, changed_slots``: items that documents hold.
 
     One row for each document and item, with the longest place where they meet; ``first_word``
-    counts the document's words from 0. Items of fewer than ``width`` words, and null texts,
-    match nothing. Rows of ``docs`` with equal doc_id are searched each for itself and give one
+    counts the document's words from 0. Null texts, and items without words, match nothing. Rows of ``docs`` with equal doc_id are searched each for itself and give one
     row together; null ids match as any other. Empty tables give no rows; other columns are
     not read.
     """
-    kept = Scratch(docs.sparkSession, "decontaminate")
-    items = kept.store(_items(benchmark))
-    parts = items.select("item_id", "item_text", "item_words", F.size("item_words").alias("n"))
-    runs = (
-        parts.select("item_id", "item_text", "n", "item_words", F.posexplode(windows("item_words", width)))
-        .withColumn("own", F.slice("item_words", F.col("pos") + 1, width))
-        .where(F.size(F.filter("own", lambda w: ~w.rlike(PLACEHOLDER))) >= plain)
-        .select("item_id", "item_text", F.col("pos").alias("item_at"), F.col("col").alias("window"), "n")
+    best = held(docs, benchmark, width=width, plain=plain, least=least).groupBy("doc_id", "item_id").agg(F.max("r").alias("r"))
+    return best.select(
+        "doc_id",
+        "item_id",
+        (-F.col("r.early")).alias("first_word"),
+        F.col("r.n_words").alias("n_words"),
+        F.col("r.n_slots").alias("n_slots"),
+        F.col("r.changed").alias("changed_slots"),
     )
-    listed = broadcast_if_few(kept.store(runs))
 
+
+def held(docs: DataFrame, benchmark: DataFrame, *, width: int = WINDOW, plain: int = PLAIN, least: int = LEAST_WORDS) -> DataFrame:
+    """``doc_id, copy, item_id, r``: every place, with the 64-bit hash of the document's text."""
+    kept = Scratch(docs.sparkSession, "decontaminate")
+    items = kept.store(_items(benchmark))
     texts = docs.where("text is not null").select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("copy")
     )
+
+    def eligible(words: str) -> DataFrame:
+        parts = items.select("item_id", "item_text", words, F.size(words).alias("n"))
+        return (
+            parts.select("item_id", "item_text", "n", words, F.posexplode(windows(words, width)))
+            .withColumn("own", F.slice(words, F.col("pos") + 1, width))
+            .where(F.size(F.filter("own", lambda w: ~w.rlike(PLACEHOLDER))) >= plain)
+            .select("item_id", "item_text", F.col("pos").alias("item_at"), F.col("col").alias("window"), "n")
+        )
+
+    runs = eligible("item_words").withColumn("typed", F.lit(1)).union(eligible("item_folded").withColumn("typed", F.lit(0)))
+    per_item = runs.groupBy("item_id", "item_text").agg(F.sum("typed").alias("typed"), F.sum(1 - F.col("typed")).alias("folded"))
+    # An item's windows with too few plain words are no evidence either way, and none of them is asked for.
+    needed = F.least(
+        F.least(F.lit(least), F.col("n") - width + plain) - width + 1, F.when(F.col("typed") > 0, F.col("typed")).otherwise(F.col("folded"))
+    )
+    listed = kept.store(
+        runs.drop("typed").distinct().join(per_item, ["item_id", "item_text"])
+        .select("item_id", "item_text", "item_at", "window", "n", F.greatest(needed, F.lit(1)).alias("needed"))
+    )
+    whole = _whole_items(texts, kept.store(items.join(listed, ["item_id", "item_text"], "left_anti")), width)
+    listed = broadcast_if_few(listed)
+
+    at = lambda words: F.transform(windows(words, width), lambda h, k: F.struct(k.alias("at"), h.alias("window")))
+    both_ways = F.concat(at("words"), F.when(F.col("folded").isNotNull(), at("folded")).otherwise(F.array().cast("array<struct<at:int,window:bigint>>")))
     met = (
-        texts.select("doc_id", "copy", template(F.col("text")).alias("words"))
-        .select("doc_id", "copy", F.posexplode(windows("words", width)).alias("at", "window"))
+        texts.select("doc_id", "copy", "text", template(F.col("text")).alias("words"))
+        .select("doc_id", "copy", "words", folded("words", F.col("text")).alias("folded"))
+        .select("doc_id", "copy", F.inline(both_ways))
         .join(listed, "window")
         .groupBy("doc_id", "copy", "item_id", "item_text", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(
@@ -102,9 +143,9 @@ def contaminated(
             F.min("item_at").alias("first"),
             F.max("item_at").alias("last"),
             F.max("n").alias("n"),
+            F.max("needed").alias("needed"),
         )
-        # An item's windows with too few plain words are no evidence either way.
-        .where(F.col("met") + width - 1 >= F.least(F.lit(least), F.col("n") - width + plain))
+        .where("met >= needed")
     )
     met = kept.store(met)
 
@@ -113,13 +154,18 @@ def contaminated(
     again = (
         texts.join(broadcast_if_few(kept.store(held)), "copy", "left_semi")
         .dropDuplicates(["copy"])  # equal texts have equal words
-        .select("copy", _words(F.col("text")).alias("values"), template(F.col("text")).alias("words"))
+        .select("copy", "text", _words(F.col("text")).alias("values"), template(F.col("text")).alias("words"))
+        .withColumn("folded", F.coalesce(folded("words", F.col("text")), "words"))
+        .drop("text")
     )
     # Items and documents are wide, so neither is sent whole.
     both = met.join(kept.store(again).hint("merge"), "copy").join(items.hint("merge"), ["item_id", "item_text"])
     # The place goes on, beyond the windows that met, for as long as the templates agree.
     place = F.sequence(F.lit(0), F.size("item_words") - 1)
-    agrees = lambda k: F.get("words", k + F.col("shift").cast("int")) == F.get("item_words", k)
+    there = lambda k: k + F.col("shift").cast("int")
+    agrees = lambda k: (
+        (F.get("words", there(k)) == F.get("item_words", k)) | (F.get("folded", there(k)) == F.get("item_folded", k))
+    )
     both = both.withColumn("bad", F.filter(place, lambda k: ~F.coalesce(agrees(k), F.lit(False))))
     stop = F.col("last") + width - 1
     both = both.select(
@@ -128,20 +174,20 @@ def contaminated(
         F.coalesce(F.array_min(F.filter("bad", lambda k: k > stop)), F.size("item_words")).alias("end"),
     )
     n = F.col("end") - F.col("begin")
-    there = F.arrays_zip(
-        F.slice("item_words", F.col("begin") + 1, n),
-        F.slice("words", F.col("begin") + 1 + F.col("shift"), n),
-        F.slice("item_values", F.col("begin") + 1, n),
-        F.slice("values", F.col("begin") + 1 + F.col("shift"), n),
-    )
-    slots = F.filter(there, lambda p: (p["0"] == p["1"]) & p["0"].rlike(PLACEHOLDER))
-    return slots_consistent(both, slots, n)
+    part = lambda own, other: (
+        F.slice(own, F.col("begin") + 1, n), F.slice(other, F.col("begin") + 1 + F.col("shift"), n)
+    )
+    place = F.arrays_zip(*part("item_words", "words"), *part("item_values", "values"), *part("item_folded", "folded"))
+    typed = lambda p, own, other: (p[own] == p[other]) & p[own].rlike(PLACEHOLDER)
+    slots = F.filter(place, lambda p: typed(p, "0", "1") | typed(p, "4", "5"))
+    both = both.where(n >= F.least(F.lit(least), F.col("n") - width + plain))
+    return slots_consistent(both, slots, n).unionByName(whole)
 
 
 def slots_consistent(both: DataFrame, slots: Column, n: Column) -> DataFrame:
     """Keeps places where item values and document values map to each other one to one."""
     both = both.select(
-        "doc_id", "item_id", (F.col("begin") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
+        "doc_id", "copy", "item_id", (F.col("begin") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
         F.transform(slots, lambda p: F.struct(p["2"].alias("x"), p["3"].alias("y"))).alias("slots"),
     )
     pairs = F.size(F.array_distinct("slots"))
@@ -151,12 +197,37 @@ def slots_consistent(both: DataFrame, slots: Column, n: Column) -> DataFrame:
         F.size("slots").alias("n_slots"),
         F.size(F.filter("slots", lambda p: p["x"] != p["y"])).alias("changed"),
     )
-    best = both.where(one_to_one).groupBy("doc_id", "item_id").agg(F.max(row).alias("r"))
-    return best.select(
-        "doc_id",
+    return both.where(one_to_one).select("doc_id", "copy", "item_id", row.alias("r"))
+
+
+def _whole_items(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """Places that hold all words of an item, values included; for items without windows that are evidence."""
+    own = items.where(F.size("item_values") > 0).select(
         "item_id",
-        (-F.col("r.early")).alias("first_word"),
-        F.col("r.n_words").alias("n_words"),
-        F.col("r.n_slots").alias("n_slots"),
-        F.col("r.changed").alias("changed_slots"),
+        F.size("item_values").alias("n"),
+        F.xxhash64("item_values").alias("whole"),
+        F.least(F.size("item_values"), F.lit(width)).alias("span"),
+        F.xxhash64(F.slice("item_values", 1, width)).alias("window"),
+        F.size(F.filter("item_words", lambda w: w.rlike(PLACEHOLDER))).alias("n_slots"),
+    )
+    spans = [r["span"] for r in own.select("span").distinct().orderBy("span").collect()]  # ``width`` of them at most
+
+    def at(span: int) -> Column:
+        return F.transform(windows("values", span), lambda h, k: F.struct(k.alias("at"), F.lit(span).alias("span"), h.alias("window")))
+
+    places = F.concat(*map(at, spans)) if spans else F.array().cast("array<struct<at:int,span:int,window:bigint>>")
+    met = F.greatest(F.col("n") - width + 1, F.lit(1)).cast("long")
+    row = F.struct(
+        met.alias("met"), F.col("n").alias("n_words"), (-F.col("at")).alias("early"), "n_slots", F.lit(0).alias("changed")
+    )
+    # Only as much of a document as the longest item goes along.
+    longest = own.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    return (
+        texts.where(F.lit(bool(spans)))
+        .select("doc_id", "copy", _words(F.col("text")).alias("values"))
+        .select("doc_id", "copy", "values", F.inline(places))
+        .withColumn("values", F.slice("values", F.col("at") + 1, max(longest, 1)))
+        .join(F.broadcast(own) if own.count() <= 10_000 else own.hint("merge"), ["span", "window"])
+        .where(F.xxhash64(F.slice("values", F.lit(1), F.col("n"))) == F.col("whole"))
+        .select("doc_id", "copy", "item_id", row.alias("r"))
     )

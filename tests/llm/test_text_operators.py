@@ -180,6 +180,24 @@ def test_templates_find_copies_and_other_values(spark):
     assert decontaminate.contaminated(frame(spark, rows), items.limit(0)).count() == 0
 
 
+def found_items(spark, docs, items):
+    listed = spark.createDataFrame([(k, t, "x", "y") for k, t in items.items()], BENCHMARK)
+    rows = decontaminate.contaminated(frame(spark, list(docs.items())), listed).collect()
+    return {(r["doc_id"], r["item_id"]): r for r in rows}
+
+
+def test_short_items_and_items_of_placeholders_are_found_whole(spark):
+    chain = " plus ".join(str(k) for k in range(17))
+    cities = "Visit " + ", ".join(f"City{chr(97 + k)}" for k in range(21))
+    items = {1: "What is the capital of France?", 2: chain, 3: cities, 4: "..."}
+    docs = {1: f"so what is the Capital of France, he asked. {chain}", 2: f"word word {cities} word", 3: "What is the capital of Spain?"}
+    docs |= {4: chain.replace("16", "17"), 5: None, 6: ""}
+    found = found_items(spark, docs, items)
+    assert sorted(found) == [(1, 1), (1, 2), (2, 3)]
+    assert found[1, 1]["first_word"] == 1 and found[1, 1]["n_words"] == 6
+    assert found[1, 2]["first_word"] == 9 and found[1, 2]["n_slots"] == 17
+
+
 def test_a_template_has_a_word_for_each_word(spark):
     texts = ["He met Mary Ann in 5 km , - 3kg", " a\t\nb  ", "", "...", "x 12:30 Uhr, Ort", "é  É 7%"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
