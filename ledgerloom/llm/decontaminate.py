@@ -22,6 +22,8 @@ from ledgerloom.llm.shared import Scratch, broadcast_if_few
 WINDOW = 8
 #: Words of a window that are no placeholders.
 PLAIN = 5
+#: Words in a row with their values that are a copy, however other values go together: two windows side by side.
+VERBATIM = 2 * WINDOW
 #: Words in a row that an item and a document must share (all of a shorter item's).
 LEAST_WORDS = 13
 
@@ -181,23 +183,26 @@ def held(docs: DataFrame, benchmark: DataFrame, *, width: int = WINDOW, plain: i
     typed = lambda p, own, other: (p[own] == p[other]) & p[own].rlike(PLACEHOLDER)
     slots = F.filter(place, lambda p: typed(p, "0", "1") | typed(p, "4", "5"))
     both = both.where(n >= F.least(F.lit(least), F.col("n") - width + plain))
-    return slots_consistent(both, slots, n).unionByName(whole)
+    return slots_consistent(both, slots, n, F.transform(place, lambda p: p["2"] == p["3"])).unionByName(whole)
 
 
-def slots_consistent(both: DataFrame, slots: Column, n: Column) -> DataFrame:
-    """Keeps places where item values and document values map to each other one to one."""
+def slots_consistent(both: DataFrame, slots: Column, n: Column, equal: Column) -> DataFrame:
+    """Keeps places where each item value has one value in the document, or that hold a long verbatim run."""
     both = both.select(
         "doc_id", "copy", "item_id", (F.col("begin") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
         F.transform(slots, lambda p: F.struct(p["2"].alias("x"), p["3"].alias("y"))).alias("slots"),
-    )
-    pairs = F.size(F.array_distinct("slots"))
-    one_to_one = (pairs == F.size(F.array_distinct("slots.x"))) & (pairs == F.size(F.array_distinct("slots.y")))
+        equal.alias("equal"),
+    ).withColumn("unlike", F.filter(F.transform("equal", lambda e, k: F.when(~e, k)), lambda k: k.isNotNull()))
+    one_each = F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.x"))
+    runs = F.zip_with(
+        F.concat("unlike", F.array(F.size("equal"))), F.concat(F.array(F.lit(-1)), "unlike"), lambda stop, before: stop - before - 1
+    )
     row = F.struct(
         "met", "n_words", (-F.col("first_word")).alias("early"),
         F.size("slots").alias("n_slots"),
         F.size(F.filter("slots", lambda p: p["x"] != p["y"])).alias("changed"),
     )
-    return both.where(one_to_one).select("doc_id", "copy", "item_id", row.alias("r"))
+    return both.where(one_each | (F.array_max(runs) >= VERBATIM)).select("doc_id", "copy", "item_id", row.alias("r"))
 
 
 def _whole_items(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:

@@ -198,6 +198,14 @@ def test_short_items_and_items_of_placeholders_are_found_whole(spark):
     assert found[1, 2]["first_word"] == 9 and found[1, 2]["n_slots"] == 17
 
 
+def test_values_that_meet_in_one_value_and_long_copies_with_an_edited_value(spark):
+    merged = ITEM.replace("2.50", "5").replace(" 4 ", " 5 ")
+    long = f"{ITEM} when the market stays open from early morning until late and nobody else sells fruit there that day"
+    items = {1: ITEM, 2: long}
+    found = found_items(spark, {1: merged, 2: long.replace("sells 3", "sells 8"), 3: MIXED}, items)
+    assert (1, 1) in found and (2, 2) in found and not any(doc == 3 for doc, _ in found)
+
+
 def test_a_template_has_a_word_for_each_word(spark):
     texts = ["He met Mary Ann in 5 km , - 3kg", " a\t\nb  ", "", "...", "x 12:30 Uhr, Ort", "é  É 7%"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
