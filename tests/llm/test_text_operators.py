@@ -206,6 +206,17 @@ def test_values_that_meet_in_one_value_and_long_copies_with_an_edited_value(spar
     assert (1, 1) in found and (2, 2) in found and not any(doc == 3 for doc, _ in found)
 
 
+def test_copies_are_found_whatever_their_case_and_punctuation(spark):
+    item = "Every day Mary and Paul carry water. Then Susan pours it into the tank. How many days pass until Mary is done with 20 buckets?"
+    bare = "".join(c for c in item if c not in ".,?")
+    docs = {1: item.upper(), 2: bare, 3: item.lower(), 4: item.replace("Mary", "Lena").replace("20", "70"), 5: item.upper().replace("20", "31")}
+    # Of few words each between its names, so that one template lacks them where the other has them.
+    other = "Then Mary told Paul that Susan saw Peter near Berlin while Anna met Carl before Emma left Rome with Otto"
+    docs |= {6: other.upper(), 7: other}
+    found = found_items(spark, docs, {1: item, 2: other})
+    assert sorted(found) == [*((k, 1) for k in range(1, 6)), (6, 2), (7, 2)]
+
+
 def test_a_template_has_a_word_for_each_word(spark):
     texts = ["He met Mary Ann in 5 km , - 3kg", " a\t\nb  ", "", "...", "x 12:30 Uhr, Ort", "é  É 7%"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
