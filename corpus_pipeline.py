@@ -19,10 +19,14 @@ TOXIC = 0.5
 READABLE = 0.5
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in ``ids`` (a stored table of distinct ids)."""
-    ids = ids.select(F.col("doc_id").alias("gone"))
-    return docs.join(broadcast_if_few(ids), docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id and text are in ``rows`` (a stored table of distinct doc_id, copy).
+
+    ``copy`` is xxhash64 of the text. Other texts under the same id, or without one, stay.
+    """
+    rows = rows.select(F.col("doc_id").alias("gone"), "copy")
+    same = docs["doc_id"].eqNullSafe(F.col("gone")) & (F.xxhash64(docs["text"]) == F.col("copy"))
+    return docs.join(broadcast_if_few(rows), docs["text"].isNotNull() & same, "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,29 +45,37 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group, that with the smallest doc_id.
 
-    Of rows with one doc_id and equal texts one stays as well; an id that stands on rows of
-    several groups stays if it is the smallest in one of them. Texts without words are in no
-    group and all stay, and so do rows without a doc_id.
+    Every text is decided for itself: of different texts under that id, and of rows with one
+    doc_id and equal texts, one stays. Rows without a doc_id are compared among themselves, and
+    one of each group stays, beside the named one if there is any. Texts without words are in
+    no group and all stay.
     """
     kept = Scratch(spark, "near-duplicates")
-    named = ngram_join.near_duplicates(docs).where("doc_id is not null and n_shingles > 0")
-    ids = kept.store(
-        named.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    unnamed = F.col("doc_id").isNull().alias("unnamed")
+    rows = kept.store(
+        ngram_join.near_duplicate_rows(docs).groupBy("part", "doc_id", "copy").agg(F.count("*").alias("n")).withColumn("unnamed", unnamed)
+    )
+    first = rows.groupBy("part", "unnamed").agg(F.min(F.struct("doc_id", "copy")).alias("first"))
+    judged = rows.join(first, ["part", "unnamed"]).withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("copy") == F.col("first.copy"))
     )
-    left = without(docs, kept.store(ids.where("not stays").select("doc_id")))
-    # A corpus with clean ids has none that repeat, and is not looked at again.
-    several = kept.store(ids.where("stays and n > 1").select("doc_id"))
+    judged = kept.store(judged.select("doc_id", "copy", "n", "stays"))
+    left = without(docs, kept.store(judged.where("not stays").select("doc_id", "copy")))
+    # A corpus with clean ids has no row that repeats, and is not looked at again.
+    several = kept.store(judged.where("stays and n > 1").select("doc_id", "copy"))
     if several.limit(1).count() == 0:
         return left
-    again = left.join(several, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    twice = several.select(F.col("doc_id").alias("own"), "copy")
+    same = left["doc_id"].eqNullSafe(F.col("own")) & (F.xxhash64(left["text"]) == F.col("copy"))
+    again = left.join(twice, same, "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
     return without(left, several).unionByName(again)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that hold no benchmark item, with its own or other values in its slots."""
     kept = Scratch(spark, "decontamination")
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, kept.store(found.select("doc_id").distinct()))
+    found = decontaminate.held(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, kept.store(found.select("doc_id", "copy").distinct()))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

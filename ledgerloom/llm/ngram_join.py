@@ -59,18 +59,28 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int):
             yield part, items, bounds, set_hashes(items, bounds)
 
 
-def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, n_shingles, class``: per row the size and the hash of its set (0: no words)."""
+def signatures(docs: DataFrame, width: int = WIDTH, copies: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, class``: per row the size and the hash of its set (0: no words).
+
+    With ``copies`` also ``copy``, the 64-bit hash of the text itself.
+    """
+    more = ["copy"] if copies else []
 
     def run(batches):
         for part, _, bounds, classes in _sets(batches, width):
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(classes.view(np.int64))],
-                names=["doc_id", "n_shingles", "class"],
+                [
+                    part.column("doc_id"),
+                    pa.array(np.diff(bounds)),
+                    pa.array(classes.view(np.int64)),
+                    *(part.column(c) for c in more),
+                ],
+                names=["doc_id", "n_shingles", "class", *more],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, class long"
+    own = [F.xxhash64("text").alias(c) for c in more]
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *own).mapInArrow(
+        run, ", ".join(["doc_id long, n_shingles long, class long", *(f"{c} long" for c in more)])
     )
 
 
@@ -405,21 +415,32 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     each other. Rows with equal doc_id are documents of their own with that id; a null
     doc_id links as any other and names no component. Other columns are not read.
     """
+    return component_ids(*_signed_and_found(docs, width, percent))
+
+
+def near_duplicate_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, copy, part`` for every row with words: the text's 64-bit hash and the component, whatever its ids."""
+    return _parts(*_signed_and_found(docs, width, percent, copies=True)).select("doc_id", "copy", "part")
+
+
+def _signed_and_found(docs: DataFrame, width: int, percent: int, copies: bool = False) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     kept = Scratch(spark, "ngram-join")
-    signed = kept.store(signatures(docs, width))
+    signed = kept.store(signatures(docs, width, copies))
     with scratch(spark, "ngram-join") as work:
         shared = work.store(alive_sets(shared_ngrams(docs, width), percent))
         found = kept.store(connected_components(similar_links(shared, work, percent), work))
-    return component_ids(signed, found)
+    return signed, found
+
+
+def _parts(signed: DataFrame, found: DataFrame) -> DataFrame:
+    found = found.select(F.col("node").alias("class"), F.col("component").alias("part"))
+    return signed.where("n_shingles > 0").join(found, "class", "left").withColumn("part", F.coalesce("part", "class"))
 
 
 def component_ids(signed: DataFrame, found: DataFrame) -> DataFrame:
     """The smallest doc_id for each component of classes, for every document."""
-    found = found.select(F.col("node").alias("class"), F.col("component").alias("part"))
-    parts = signed.where("n_shingles > 0").join(found, "class", "left").withColumn(
-        "part", F.coalesce("part", "class")
-    )
+    parts = _parts(signed, found)
     least = parts.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     joined = parts.join(least, "part").select("doc_id", "n_shingles", "class", "component_id")
     alone = signed.where("n_shingles = 0").select(

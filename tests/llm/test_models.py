@@ -120,6 +120,31 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "7", "None"]
 
 
+TEXTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_duplicates_are_decided_for_each_text(spark):
+    base = [f"w{k * 7919 % 500}" for k in range(60)]
+    text, near, other = " ".join(base), " ".join([*base[:-2], "other", "end"]), " ".join(reversed(base))
+    rows = [(3, text), (3, near), (3, other), (4, None), (4, text), (None, text), (None, text), (None, near), (None, "alone here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], TEXTS)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(i for i, _ in kept if i is not None) == [3, 3, 4]
+    assert (3, other) in kept and (4, None) in kept and (None, "alone here") in kept
+    assert sum(i is None for i, _ in kept) == 2
+
+
+def test_decontamination_takes_texts_not_ids(spark, tmp_path):
+    item = "how many apples does the old farmer sell each morning at the market when it rains"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"so {item}"), (None, "clean text"), (None, None), (5, item), (5, "another text"), (6, "a third text")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], TEXTS)
+    kept = corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path))
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == sorted(
+        str(r) for r in rows if r[1] is None or item not in r[1]
+    )
+
+
 def test_the_pipeline_does_what_its_stages_decide(spark):
     """Each stage's rows against the operator's own verdicts and a plain rule over all rows."""
     docs = table(spark, SMALL, "documents")
