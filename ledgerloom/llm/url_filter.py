@@ -23,6 +23,9 @@ from ledgerloom.llm.shared import broadcast_if_few
 BLOCKS = 1 << 20
 BITS_SET = 6
 
+#: Lengths of rules' paths that a URL's path is cut at one by one.
+MOST_LENGTHS = 1024
+
 ALLOW, BLOCK = "allow", "block"
 
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -99,12 +102,10 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFram
     spark = pages.sparkSession
     rules = canonical_rules(rules)
     words = spark.sparkContext.broadcast(bloom_words(rules))
-    # Lengths of rules' paths that occur: a handful, however many rules there are.
+    # Lengths of rules' paths that occur: a handful as a rule. Of more than MOST_LENGTHS none is named: all starts are tried.
     lengths = sorted(
-        row["n"] for row in rules.select(F.length("path").alias("n")).distinct().orderBy("n").limit(1025).collect()
+        row["n"] for row in rules.select(F.length("path").alias("n")).distinct().orderBy("n").limit(MOST_LENGTHS + 1).collect()
     )
-    if len(lengths) > 1024:
-        raise ValueError("rules' paths have more than 1024 different lengths")
 
     @F.arrow_udf("boolean")
     def possible(block: pa.Array, word: pa.Array) -> pa.Array:
@@ -123,7 +124,10 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFram
         F.sequence(F.lit(1), F.size(labels)),
         lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
     )
-    starts = F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths))
+    if len(lengths) > MOST_LENGTHS:
+        starts = F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: F.substring("path", F.lit(1), n))
+    else:
+        starts = F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths))
     keys = (
         pairs.where("host != ''")
         .select("host", "path", F.explode(suffixes).alias("rule_host"), F.array_compact(starts).alias("starts"))

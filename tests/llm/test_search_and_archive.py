@@ -161,6 +161,14 @@ def test_the_loss_mask_covers_bodies_alone(spark):
 RULES = [("com", "/", "allow"), ("Example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/", "allow")]
 
 
+def test_rules_with_paths_of_many_lengths(spark):
+    rules = spark.createDataFrame([("a.org", "/" + "x" * n, "block") for n in range(1100)] + [("org", "", "allow")], "host string, path string, verdict string")
+    urls = ["http://a.org/" + "x" * 700 + "/y", "http://b.a.org/z", "http://c.org", "http://c.net/xx"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judged(pages, rules).collect()}
+    assert found == {0: ("a.org/" + "x" * 700, "block"), 1: ("a.org/", "block"), 2: ("org", "allow"), 3: (None, "allow")}
+
+
 def test_urls(spark):
     urls = {
         "http://a.EXAMPLE.com/en/x?y": ("a.example.com", "/en/x", "example.com/en/", "block"),
