@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, ngram_join, packing, quality, token_counts, topk, toxicity, url_filter, warc
+from ledgerloom.llm import (
+    chat,
+    cover_tree,
+    decontaminate,
+    lexical,
+    ngram_join,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from ledgerloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +237,79 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
 SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 10
 """
+
+
+@query
+def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector; every seventh label is wrong."""
+    rows = table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.hard_negatives(rows.withColumn("label", wrong), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_cover_tree_negatives"] = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM whole a JOIN whole c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query
+def op12_simhash_pivot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, linked at four or fewer differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hybrid_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_hybrid_lexical_search"] = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents WHERE text IS NOT NULL
+),
+sizes AS (SELECT doc_id, len(w) AS n FROM words WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM words) GROUP BY doc_id, term),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held, totals GROUP BY term, docs
+),
+scores AS (
+    SELECT item_id, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+    GROUP BY item_id, doc_id
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 50
+"""
