@@ -171,3 +171,13 @@ def set_hashes(items: np.ndarray, rows: np.ndarray) -> np.ndarray:
     out = mix((sums[rows[1:]] - sums[rows[:-1]]) + size * np.uint64(INVERSE))
     out[out == 0] = 1
     return np.where(size > 0, out, np.uint64(0))
+
+
+def byte_planes(numbers: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, all their second bytes and so on, which compresses well when they are small."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def from_byte_planes(data: bytes, dtype: str) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()

@@ -34,6 +34,12 @@ def sample(labels: DataFrame, grade: Column, grades: list[int], folds: list[int]
     )
 
 
+def parted_texts(docs: DataFrame, parts: dict[int, DataFrame]) -> DataFrame:
+    """``part, grade, text`` of several samples in one reading of ``docs``; each part's rows are bounded, as in ``sample``."""
+    chosen = reduce(DataFrame.union, (rows.select("doc_id", "grade", F.lit(part).alias("part")) for part, rows in parts.items()))
+    return docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("part", "grade", "text")
+
+
 def texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """``grade, text`` of a sample; its rows are bounded by its parameters, so it goes to all executors."""
     return docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("grade", "text")

@@ -1,22 +1,32 @@
 """Toxicity by two Kneser-Ney language models, one of toxic and one of ordinary documents.
 
-A document's score compares its log-likelihoods under both, per word. Each model backs
-off from a word after its neighbour to the word, to the word's first five and first four
-bytes (rare words are often forms of a known stem), and last to a distribution that both
-models share: in how many contexts an expression occurs in the whole corpus. So what
-neither class knows, or knows only by chance, says nothing.
-
-An expression counts once for each document. Expressions are counted in hashed cells, so
-the models have a fixed size: ``CELLS`` cells for each table, some 40 MB in all. Class
-counts come from a bounded sample (up to ``MOST`` labelled documents a class), the shared
-counts from all documents: every task marks for each cell which of 32 kinds of preceding
-words it has met, and the marks of all tasks are united segment by segment. The score is
-calibrated on labelled documents of another fold.
+The class is the context of a word: P(word | class) is what the class's labelled documents say
+about it, less a discount, and for the rest backs off to the word's first five and first four
+bytes (rare words are often forms of a known stem), and last to continuation counts that both
+classes share: after how many different words an expression occurs in the whole corpus. With c
+the labelled documents of a class that hold an expression and N their sum over the level,
+
+    p4 = max(c4 - D, 0) / N4 + left4 * cont(stem4) / sum of cont
+    p5 = max(c5 - D, 0) / N5 + left5 * cont(stem5) / cont(stem4) * p4
+    p  = max(c - D, 0) / N + left * cont(word) / cont(stem5) * p5
+
+where what the discount leaves to the next level is shared by both classes, as they differ in
+size. An expression that neither class holds in more than D documents thus has no say of its
+own: the ratio of the classes is that of its stem, or one.
+
+A toxic document is mostly ordinary words, so its words are drawn from the toxic model with
+probability ``SHARE`` and from the ordinary one else. The score compares the length-normalised
+log-likelihoods of the text under both, the mean of log((1 - SHARE) + SHARE * p_toxic / p_ordinary),
+beside 1 / length, and is calibrated on labelled documents of another fold.
+
+Class counts come from a bounded sample (``MOST`` labelled documents a class) and keep at most
+``KNOWN`` expressions a level. Continuation counts are exact and over all documents: every task
+sends the distinct pairs of a word before and an expression once for each of its batches, and
+whoever owns a pair's range counts it once.
 """
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,132 +35,236 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import labelled
-from ledgerloom.llm.hashed_words import NOT_WORD, mix, sliced, word_hashes
-
-BITS = 19
-CELLS = 1 << BITS
-KINDS = 32
-SEGMENTS = 64
+from ledgerloom.llm.hashed_words import NOT_WORD, byte_planes, from_byte_planes, mix, sliced, word_hashes
+from ledgerloom.llm.shared import partitions, scratch
 
 #: Labelled documents for each class: for the counts, for the calibration.
 MOST = 6000
 CALIBRATION = 2000
 COUNT_FOLDS, CALIBRATION_FOLDS = [2, 3, 4], [1]
 
-#: Taken off every count, so that what a class knows from a few documents says nothing.
-DISCOUNT = 3.0
-#: Differences of log-likelihoods up to this much are noise of the sample (its mix of languages, say).
-MARGIN = 1.5
-
-STEMS = (5, 4)
-START = np.uint64(0x5851F42D4C957F2D)
-WORD, STEM5, STEM4, PAIR, CONTEXT = range(5)
+#: Expressions of each level in the models, the most frequent ones.
+KNOWN = 1 << 20
+#: Taken off every count: what one labelled document holds is left to the next level.
+DISCOUNT = 1.0
+#: The part of a toxic document's words that the toxic model gives.
+SHARE = 0.02
 
+#: Pairs that a task makes distinct at once.
+PAIRS = 2_000_000
 
-def _cell(hashes: np.ndarray, table: int = 0) -> np.ndarray:
-    return (mix(hashes + np.uint64(table)) >> np.uint64(64 - BITS)).astype(np.int64)
+STEMS = (5, 4)
+WORD, STEM5, STEM4 = LEVELS = range(3)
+START = np.uint64(0x5851F42D4C957F2D)  # stands before a text's first word
+UNKNOWN = -1
 
 
-def _expressions(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Cells of each word's expressions (by table), the hash of the word before, the rows' offsets."""
+def expressions(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of each word and its stems (by level), of the word before it, and the rows' offsets."""
     words, rows, *stems = word_hashes(column, NOT_WORD, starts_of=STEMS)
     before = np.empty_like(words)
     before[1:] = words[:-1]
     before[rows[:-1][np.diff(rows) > 0]] = START
-    cells = [_cell(words, WORD), *(_cell(stem, k) for stem, k in zip(stems, (STEM5, STEM4), strict=True))]
-    context = _cell(before, CONTEXT)
-    return [*cells, (context << BITS) | cells[WORD], context], before, rows
+    return [words, *stems], before, rows
+
+
+def _places(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where a sorted table holds the hashes; UNKNOWN where it does not."""
+    if not len(table):
+        return np.full(len(hashes), UNKNOWN)
+    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+    return np.where(table[at] == hashes, at, UNKNOWN)
+
+
+@dataclass
+class Vocabulary:
+    """The expressions that the class models know, by level: sorted hashes, place of the stem in the next level."""
+
+    hashes: list[np.ndarray]
+    parent: list[np.ndarray]
+
+    @property
+    def first(self) -> list[int]:
+        """Numbers over all levels begin here; one more for the end."""
+        return [0, *np.cumsum([len(h) for h in self.hashes]).tolist()]
+
+    def deepest(self, found: list[np.ndarray]) -> np.ndarray:
+        """The number of each word's deepest known expression."""
+        first = self.first
+        out = np.full(len(found[WORD]), UNKNOWN)
+        left = np.arange(len(out))
+        for level in LEVELS:
+            at = _places(self.hashes[level], found[level][left])
+            known = at != UNKNOWN
+            out[left[known]] = at[known] + first[level]
+            left = left[~known]
+        return out
+
+    def at_level(self, numbers: np.ndarray, level: int) -> np.ndarray:
+        """The expression of ``level`` above each number; UNKNOWN where the number lies above that level."""
+        first, out = self.first, np.array(numbers)
+        for below in range(level):
+            own = (out >= first[below]) & (out < first[below + 1])
+            parent = self.parent[below][out[own] - first[below]]
+            out[own] = np.where(parent == UNKNOWN, UNKNOWN, parent + first[below + 1])
+        return np.where((out >= first[level]) & (out < first[level + 1]), out, UNKNOWN)
+
+
+# Class counts.
+
+
+def class_counts(texts: DataFrame) -> DataFrame:
+    """``level, hash, parent, toxic, ordinary``: the documents of a sample (grade, text) that hold each expression."""
+
+    def count(batches):
+        for batch in batches:
+            for part in sliced(batch, "text"):
+                found, _, rows = expressions(part.column("text"))
+                row = np.repeat(np.arange(part.num_rows), np.diff(rows))
+                grade = part.column("grade").to_numpy().astype(np.int64)
+                for level in LEVELS:
+                    own, first, at = np.unique(found[level], return_index=True, return_inverse=True)
+                    once = np.unique(row * len(own) + at) if len(own) else row
+                    row_of, at = np.divmod(once, max(len(own), 1))
+                    above = found[min(level + 1, STEM4)][first]
+                    toxic = np.bincount(at[grade[row_of] == 1], minlength=len(own))
+                    every = np.bincount(at, minlength=len(own))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(own), level, np.int32)),
+                            pa.array(own.view(np.int64)),
+                            pa.array(above.view(np.int64)),
+                            pa.array(toxic),
+                            pa.array(every - toxic),
+                        ],
+                        names=["level", "hash", "parent", "toxic", "ordinary"],
+                    )
+
+    counted = texts.mapInArrow(count, "level int, hash long, parent long, toxic long, ordinary long")
+    return counted.groupBy("level", "hash", "parent").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+def vocabulary(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, list[np.ndarray]]:
+    """The expressions that a class holds in more than DISCOUNT documents, and their counts by class."""
+    enough = counts.where((F.col("toxic") > DISCOUNT) | (F.col("ordinary") > DISCOUNT))
+    tables = []
+    for level in LEVELS:
+        own = enough.where(F.col("level") == level).orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "hash").limit(known)
+        rows = own.select("hash", "parent", "toxic", "ordinary").toArrow()
+        columns = [rows.column(k).to_numpy() for k in range(4)]
+        order = np.argsort(columns[0].view(np.uint64))
+        tables.append([c[order] for c in columns])
+    hashes = [t[0].view(np.uint64) for t in tables]
+    parent = [_places(hashes[k + 1], tables[k][1].view(np.uint64)) for k in (WORD, STEM5)]
+    return Vocabulary(hashes, parent), [np.stack((t[2], t[3])).astype(float) for t in tables]
 
 
-def _mark(pairs: np.ndarray) -> np.ndarray:
-    return (mix(pairs.view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
+# Shared counts.
 
 
-def shared_contexts(docs: DataFrame) -> list[np.ndarray]:
-    """For words and both stems: in about how many contexts each cell's expressions occur in all documents."""
-    size = 3 * CELLS * KINDS // SEGMENTS
+def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
+    """By number: after how many different words each known expression occurs in all documents.
 
-    def mark(batches):
-        seen = np.zeros(3 * CELLS * KINDS, dtype=bool)
+    The ranges that pairs are dealt out by are as many as shuffle partitions; a range takes some
+    50 bytes of memory for each of its pairs.
+    """
+    ranges = partitions(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+    total = known.first[-1]
+
+    def pack(known, held):
+        before, numbers = (np.concatenate(c) for c in zip(*held, strict=True))
+        stem = known.at_level(numbers, STEM4)
+        part = mix(before + stem.astype(np.uint64)) % np.uint64(ranges)
+        order = np.lexsort((numbers, before, part))
+        before, numbers, part = before[order], numbers[order], part[order]
+        fresh = np.ones(len(part), dtype=bool)
+        fresh[1:] = (before[1:] != before[:-1]) | (numbers[1:] != numbers[:-1])
+        before, numbers, part = before[fresh], numbers[fresh], part[fresh].astype(np.int64)
+        bounds = np.searchsorted(part, np.arange(ranges + 1))
+        rows = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _ in rows], pa.int32()),
+                pa.array([byte_planes(np.diff(before[own], prepend=np.uint64(0))) for _, own in rows], pa.binary()),
+                pa.array([byte_planes(numbers[own].astype("<u4")) for _, own in rows], pa.binary()),
+            ],
+            names=["part", "before", "numbers"],
+        )
+
+    def pairs(batches):
+        known = sent.value
+        held, n = [], 0
         for batch in batches:
             for part in sliced(batch, "text"):
-                cells, before, _ = _expressions(part.column("text"))
-                kind = (before & np.uint64(KINDS - 1)).astype(np.int64)
-                for table in (WORD, STEM5, STEM4):
-                    seen[(table * CELLS + cells[table]) * KINDS + kind] = True
-        if seen.any():
-            # Most cells of a small task are empty, so the marks compress well.
-            bits = [zlib.compress(np.packbits(seen[k * size : (k + 1) * size]), 1) for k in range(SEGMENTS)]
-            yield pa.RecordBatch.from_pydict(
-                {"segment": pa.array(range(SEGMENTS), pa.int32()), "bits": pa.array(bits, pa.binary())}
-            )
-
-    def unite(batches):
-        held: dict[int, np.ndarray] = {}
+                found, before, _ = expressions(part.column("text"))
+                numbers = known.deepest(found)
+                some = numbers != UNKNOWN
+                held.append((before[some], numbers[some]))
+                n += int(some.sum())
+                if n >= PAIRS:
+                    yield pack(known, held)
+                    held, n = [], 0
+        if n:
+            yield pack(known, held)
+
+    def count(batches):
+        known = sent.value
+        before, numbers = [], []
         for batch in batches:
-            for segment, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(zlib.decompress(bits), np.uint8)
-                held[segment] = held[segment] | own if segment in held else own
-        for segment, bits in held.items():
-            kinds = np.unpackbits(bits).reshape(-1, KINDS).sum(axis=1).astype(np.uint8)
-            yield pa.RecordBatch.from_pydict(
-                {"segment": pa.array([segment], pa.int32()), "kinds": pa.array([kinds.tobytes()], pa.binary())}
-            )
-
-    marked = docs.select(F.col("text").cast("string")).mapInArrow(mark, "segment int, bits binary")
-    united = marked.repartition("segment").mapInArrow(unite, "segment int, kinds binary")
-    kinds = np.zeros((SEGMENTS, 3 * CELLS // SEGMENTS))
-    for row in united.toArrow().to_pylist():  # SEGMENTS rows, a byte for each cell
-        kinds[row["segment"]] = np.frombuffer(row["kinds"], np.uint8)
-    empty = np.maximum(1 - kinds.reshape(3, CELLS) / KINDS, 0.5 / KINDS)
-    return list(-KINDS * np.log(empty))
+            for gaps, own in zip(batch.column("before").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
+                before.append(np.cumsum(from_byte_planes(gaps, "<u8"), dtype=np.uint64))
+                numbers.append(from_byte_planes(own, "<u4").astype(np.int64))
+        if not before:
+            return
+        before, numbers = np.concatenate(before), np.concatenate(numbers)
+        for level in LEVELS:
+            # All pairs of a word before and a stem are in this range, whatever follows the stem.
+            own = known.at_level(numbers, level)
+            some = own != UNKNOWN
+            order = np.lexsort((own[some], before[some]))
+            one, two = before[some][order], own[some][order]
+            fresh = np.ones(len(one), dtype=bool)
+            fresh[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            number, n = np.unique(two[fresh], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(n)], names=["number", "n"])
+
+    counted = (
+        docs.select(F.col("text").cast("string"))
+        .mapInArrow(pairs, "part int, before binary, numbers binary")
+        .repartitionById(ranges, F.col("part"))
+        .mapInArrow(count, "number long, n long")
+        .groupBy("number")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()  # a row for each known expression at most
+    )
+    sent.unpersist()
+    out = np.zeros(total)
+    out[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
+    return out
 
 
-@dataclass
-class ClassModel:
-    """Probabilities of one class, by cells."""
-
-    known: list[np.ndarray]  # discounted shares of words, stems of five and four
-    left: list[float]  # what the discount leaves to the next level
-    pairs: np.ndarray  # pairs (context and word) that are left after the discount, sorted
-    often: np.ndarray  # their discounted counts
-    marks: np.ndarray  # cells of those pairs, so that most others are passed over
-    each: np.ndarray  # 1 / count of a context, 0: unknown
-    after: np.ndarray  # what a context leaves to the word alone
-
-    def log_likelihood(self, cells: list[np.ndarray], within: list[np.ndarray]) -> np.ndarray:
-        p = self.left[STEM4] * within[STEM4] + self.known[STEM4][cells[STEM4]]
-        for table in (STEM5, WORD):
-            p = self.left[table] * within[table] * p + self.known[table][cells[table]]
-        p = self.after[cells[CONTEXT]] * p
-        near = np.flatnonzero(self.marks[_mark(cells[PAIR])])
-        if len(near):
-            pair = cells[PAIR][near]
-            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            found = self.pairs[at] == pair
-            near, at = near[found], at[found]
-            p[near] += self.often[at] * self.each[cells[CONTEXT][near]]
-        return np.log(p)
+# The models.
 
 
 @dataclass
 class Model:
-    toxic: ClassModel
-    ordinary: ClassModel
-    shared: list[np.ndarray]  # shares of contexts in the whole corpus, for words and stems
-    weights: np.ndarray  # of the difference by words, of the difference by their root, 1
+    hashes: list[np.ndarray]  # known expressions by level, sorted
+    evidence: list[np.ndarray]  # log((1 - SHARE) + SHARE * p_toxic / p_ordinary) of each
+    weights: np.ndarray  # of its mean, of 1 / length, 1
 
     def features(self, column: pa.Array) -> np.ndarray:
-        cells, _, rows = _expressions(column)
-        word, stem5, stem4 = (self.shared[k][cells[k]] for k in (WORD, STEM5, STEM4))
-        within = [np.minimum(word / stem5, 1), np.minimum(stem5 / stem4, 1), stem4]
-        differs = self.toxic.log_likelihood(cells, within) - self.ordinary.log_likelihood(cells, within)
+        found, _, rows = expressions(column)
+        value = np.zeros(len(found[WORD]))
+        left = np.arange(len(value))
+        for level in LEVELS:
+            at = _places(self.hashes[level], found[level][left])
+            known = at != UNKNOWN
+            value[left[known]] = self.evidence[level][at[known]]
+            left = left[~known]
+        sums = np.concatenate(([0.0], np.cumsum(value)))
         n = np.maximum(np.diff(rows), 1)
-
-        # What speaks against toxic is the same for most texts: that they hold common words.
-        sums = np.concatenate(([0.0], np.cumsum(np.maximum(differs - MARGIN, 0), dtype=np.float64)))
-        total = sums[rows[1:]] - sums[rows[:-1]]
-        return np.stack((total / n, total / np.sqrt(n), np.ones(len(n))), axis=1)
+        return np.stack(((sums[rows[1:]] - sums[rows[:-1]]) / n, 1 / n, np.ones(len(n))), axis=1)
 
     def score(self, column: pa.Array) -> np.ndarray:
         batch = pa.RecordBatch.from_arrays([column], names=["text"])
@@ -159,124 +273,103 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _class_models(texts: DataFrame, shared: list[np.ndarray]) -> tuple[ClassModel, ClassModel]:
-    """Both models, from a sample's ``grade`` (1 toxic, 0 not) and ``text``."""
-
-    def count(batches):
-        for batch in batches:
-            for part in sliced(batch, "text"):
-                cells, _, rows = _expressions(part.column("text"))
-                row = np.repeat(np.arange(part.num_rows), np.diff(rows))
-                grade = part.column("grade").to_numpy().astype(np.int64)
-                for table in (WORD, STEM5, STEM4, PAIR):
-                    # One number for an expression, once for each document.
-                    own = np.unique((row << (2 * BITS)) | cells[table])
-                    own = (grade[own >> (2 * BITS)] << (2 * BITS)) | (own & ((1 << (2 * BITS)) - 1))
-                    found, n = np.unique(own, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), table, np.int32)), pa.array(found), pa.array(n)],
-                        names=["table", "key", "n"],
-                    )
+def probabilities(
+    known: Vocabulary, counts: list[np.ndarray], sums: np.ndarray, taken: np.ndarray, shared: np.ndarray
+) -> list[np.ndarray]:
+    """By level: of each known expression the probability under toxic and under ordinary.
 
-    counts = texts.mapInArrow(count, "table int, key long, n long").groupBy("table", "key").agg(F.sum("n").alias("n"))
-    split = counts.select(
-        "table",
-        F.shiftright("key", 2 * BITS).alias("grade"),
-        F.col("key").bitwiseAND(F.lit((1 << 2 * BITS) - 1)).alias("cell"),
-        "n",
-        F.least("n", F.lit(DISCOUNT)).alias("taken"),
-    )
-    pairs = F.col("table") == PAIR
-    # Without a filter on the table, so that both readers of the counts share one shuffle of them.
-    by_context = (
-        split.groupBy("grade", F.shiftright("cell", BITS).alias("context"))
-        .agg(F.sum(F.when(pairs, F.col("n"))).alias("n"), F.sum(F.when(pairs, F.col("taken"))).alias("taken"))
-        .select(F.lit(CONTEXT), "grade", "context", "n", "taken")
-        .where("n > 0")
-    )
-    # Eight tables of CELLS rows at most, and the sample's pairs that occur often.
-    found = split.where(~pairs | (F.col("n") > DISCOUNT)).union(by_context).toArrow()
-    table, grade, at, n, taken = (found.column(k).to_numpy() for k in range(5))
-
-    # What is left to the next level is shared as well: classes of unequal size would differ in it.
-    left = []
-    for which in (WORD, STEM5, STEM4):
-        own = table == which
-        left.append(float(taken[own].sum() / n[own].sum()) if own.any() else 1.0)
-    own = table == CONTEXT
-    context, off = np.zeros(CELLS), np.zeros(CELLS)
-    np.add.at(context, at[own], n[own])
-    np.add.at(off, at[own], taken[own])
-    after = np.divide(off, context, out=np.ones(CELLS), where=context > 0)
-
-    def one(of: int) -> ClassModel:
-        def dense(which, values):
-            own = (table == which) & (grade == of)
-            out = np.zeros(CELLS)
-            out[at[own]] = values[own]
-            return out
-
-        known = []
-        for which in (WORD, STEM5, STEM4):
-            held = dense(which, n)
-            known.append((np.maximum(held - DISCOUNT, 0) / max(held.sum(), 1)).astype(np.float32))
-        context = dense(CONTEXT, n)
-        each = np.divide(1.0, context, out=np.zeros(CELLS), where=context > 0)
-        own = (table == PAIR) & (grade == of)
-        order = np.argsort(at[own])
-        pairs, often = at[own][order], (n[own][order] - DISCOUNT).astype(np.float32)
-        marks = np.zeros(CELLS, dtype=bool)
-        marks[_mark(pairs)] = True
-        return ClassModel(known, left, pairs, often, marks, each.astype(np.float32), after.astype(np.float32))
-
-    return one(1), one(0)
+    ``sums`` and ``taken`` hold, by level and class, the sum of all counts and what DISCOUNT takes off it.
+    """
+    first = known.first
+    cont = [np.maximum(shared[first[k] : first[k + 1]], 1) for k in LEVELS]
+    out: list[np.ndarray] = [np.zeros((2, 0))] * 3
+    for level in reversed(LEVELS):
+        own = np.maximum(counts[level] - DISCOUNT, 0) / np.maximum(sums[level], 1)[:, None]
+        left = taken[level].sum() / max(sums[level].sum(), 1)
+        if level == STEM4:
+            out[level] = own + left * cont[level] / cont[level].sum()
+        else:
+            # The stem is known as well, unless KNOWN left it out; then it says nothing.
+            above = known.parent[level]
+            some = above != UNKNOWN
+            rest = np.broadcast_to(cont[level] / cont[level].sum(), (2, len(above))).copy()
+            rest[:, some] = np.minimum(cont[level][some] / cont[level + 1][above[some]], 1) * out[level + 1][:, above[some]]
+            out[level] = own + left * rest
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights by Newton's method with a small ridge; both classes weigh the same."""
-    w = np.zeros(x.shape[1])
+    """Weights by Newton's method, halving steps that lose; a small ridge; both classes weigh the same."""
+    size = x.std(axis=0)
+    size[size == 0] = 1
+    x = x / size
     each = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    ridge = 1e-4
+
+    def loss(w):
+        z = x @ w
+        return (each * (np.logaddexp(0, z) - y * z)).sum() + ridge / 2 * w @ w
+
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (each * (y - p)) - 1e-4 * w
-        curve = (x * (each * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-4 * np.eye(len(w))
-        w = w + np.clip(np.linalg.solve(curve, slope), -5, 5)
-    return w
+        slope = x.T @ (each * (y - p)) - ridge * w
+        curve = (x * (each * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        while loss(w + step) > loss(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w + step
+    return w / size
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MOST, calibration: int = CALIBRATION) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = MOST, calibration: int = CALIBRATION, known: int = KNOWN) -> Model:
     """Learns from ``labels`` (doc_id, toxic) of folds 1 to 4 and the texts of all ``docs``.
 
-    Without labelled documents the models are equal and every score is 0.5 less a margin.
+    Without labelled documents the models are equal and every score is the constant of an
+    ordinary text without words.
     """
-    contexts = shared_contexts(docs)
-    shared = [((k + 0.5) / (k + 0.5).sum()).astype(np.float32) for k in contexts]
     toxic = F.col("toxic")
-    chosen = labelled.sample(labels, toxic, [0, 1], COUNT_FOLDS, most)
-    model = Model(*_class_models(labelled.texts(docs, chosen), shared), shared, np.zeros(3))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    with scratch(docs.sparkSession, "toxicity") as work:
+        samples = {
+            0: labelled.sample(labels, toxic, [0, 1], COUNT_FOLDS, most),
+            1: labelled.sample(labels, toxic, [0, 1], CALIBRATION_FOLDS, calibration),
+        }
+        texts = work.store(labelled.parted_texts(docs, samples))
+        counts = work.store(class_counts(texts.where("part = 0").select("grade", "text")))
+        per_level = counts.groupBy("level").agg(
+            *(F.sum(c).alias(c) for c in ("toxic", "ordinary")),
+            *(F.sum(F.least(F.col(c).cast("double"), F.lit(DISCOUNT))).alias(f"{c}_off") for c in ("toxic", "ordinary")),
+        )
+        sums, taken = np.zeros((3, 2)), np.zeros((3, 2))
+        for row in per_level.collect():  # three rows
+            sums[row["level"]] = row["toxic"], row["ordinary"]
+            taken[row["level"]] = row["toxic_off"], row["ordinary_off"]
+        words, by_class = vocabulary(counts, known)
+        p = probabilities(words, by_class, sums, taken, continuations(docs, words))
+        evidence = [np.log((1 - SHARE) + SHARE * own[0] / own[1]).astype(np.float32) for own in p]
+        model = Model(words.hashes, evidence, np.zeros(3))
+        sent = docs.sparkSession.sparkContext.broadcast(model)
+
+        def measure(batches):
+            for batch in batches:
+                for part in sliced(batch, "text"):
+                    found = sent.value.features(part.column("text"))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("grade"), *(pa.array(found[:, k].copy()) for k in range(2))],
+                        names=["grade", "a", "b"],
+                    )
 
-    def measure(batches):
-        for batch in batches:
-            for part in sliced(batch, "text"):
-                found = sent.value.features(part.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("grade"), *(pa.array(found[:, k].copy()) for k in range(2))],
-                    names=["grade", "a", "b"],
-                )
-
-    chosen = labelled.sample(labels, toxic, [0, 1], CALIBRATION_FOLDS, calibration)
-    rows = labelled.texts(docs, chosen).mapInArrow(measure, "grade int, a double, b double").toArrow()
+        rows = texts.where("part = 1").select("grade", "text").mapInArrow(measure, "grade int, a double, b double").toArrow()
+        sent.unpersist()
     y, *x = (rows.column(k).to_numpy() for k in range(3))
-    sent.unpersist()
     # Beside the calibration rows, one that keeps texts without words on the ordinary side.
-    x = np.concatenate((np.stack((*x, np.ones(len(y))), axis=1), [[0.0, 0.0, 1.0]]))
+    x = np.concatenate((np.stack((*x, np.ones(len(y))), axis=1), [[0.0, 1.0, 1.0]]))
     model.weights = _logistic(x, np.append(y, [0]))
     return model
 
 
 def score_column(docs: DataFrame, model: Model) -> Column:
-    """The score of ``text``, 0 to 1; of texts without words (null, empty) by the calibration's constant."""
+    """The score of ``text``, 0 to 1; texts without words (null, empty) have one score of their own."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
@@ -290,7 +383,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
     Rows with equal texts score the same; repeated rows are scored each for itself; a null
-    doc_id is in no fold and not held out. Only ``text`` enters a score.
+    doc_id is in no fold and not held out. Texts of any length are read whole, in slices. No
+    ``docs`` give no rows; see ``train`` for no ``labels``. Only ``text`` enters a score; other
+    columns are not read.
     """
     model = train(docs, labels)
     return docs.select(

@@ -1,11 +1,14 @@
 """Toxicity, quality and the pipeline: held-out accuracy, odd rows, and a brute-force version of the stages."""
 
 import random
+import re
 import sys
 import zlib
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +72,87 @@ def test_odd_texts_have_scores(spark, docs, labels):
     assert toxicity.toxicity(odd(spark).limit(0), labels).count() == 0
 
 
+def models_by_hand(docs, labels):
+    """Mean evidence of each text (share, discount as in the module) from two models made of dictionaries."""
+    grade = {}
+    for i, toxic in labels:
+        if i is not None and toxic is not None and zlib.crc32(str(i).encode()) % 5 in (2, 3, 4):
+            grade[i] = max(grade.get(i, 0), toxic)
+
+    def words(text):
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        return [w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)]
+
+    levels = (lambda w: w, lambda w: w[:5], lambda w: w[:4])
+    held = [[Counter() for _ in levels] for _ in range(2)]
+    for i, text in docs:
+        if i in grade:
+            for level, of in enumerate(levels):
+                held[grade[i]][level].update({of(w) for w in words(text)})
+    off = toxicity.DISCOUNT
+    known = [{e for c in (0, 1) for e, n in held[c][level].items() if n > off} for level in range(3)]
+    after = [defaultdict(set) for _ in levels]
+    for _, text in docs:
+        own = words(text)
+        for before, word in zip([None, *own[:-1]], own):
+            for level, of in enumerate(levels):
+                after[level][of(word)].add(before)
+    shared = sum(len(after[2][e]) for e in known[2])
+    left = [
+        sum(min(n, off) for c in (0, 1) for n in held[c][level].values()) / sum(sum(held[c][level].values()) for c in (0, 1))
+        for level in range(3)
+    ]
+
+    def p(c, level, word):
+        e = levels[level](word)
+        own = max(held[c][level][e] - off, 0) / sum(held[c][level].values())
+        if level == 2:
+            return own + left[2] * len(after[2][e]) / shared
+        above = levels[level + 1](word)
+        return own + left[level] * len(after[level][e]) / len(after[level + 1][above]) * p(c, level + 1, word)
+
+    def evidence(word):
+        for level in range(3):
+            if levels[level](word) in known[level]:
+                return np.log(1 - toxicity.SHARE + toxicity.SHARE * p(1, level, word) / p(0, level, word))
+        return 0.0
+
+    return [float(np.mean([evidence(w) for w in words(text)] or [0.0])) for _, text in docs]
+
+
+@pytest.mark.parametrize("pairs", [30, 2_000_000])
+def test_both_models_equal_brute_force(spark, monkeypatch, pairs):
+    """Exact counts of both classes and of all documents, however the work is cut; unlabelled documents count as well."""
+    monkeypatch.setattr(toxicity, "PAIRS", pairs)
+    rng = random.Random(4)
+    stems = ["trash", "réeux", "ab", "x", "漢字", "common"]
+    word = lambda bias: rng.choice(stems[bias:]) + rng.choice(["", "", "s", "ing", "ou", str(rng.randrange(30))])
+    docs, labels = [], []
+    for k in range(260):
+        toxic = k % 3 == 0
+        text = " ".join(rng.choice([str.upper, str])(word(0 if toxic else 1)) for _ in range(rng.randrange(1, 30)))
+        docs.append((k, text))
+        if k % 4:
+            labels.append((k, int(toxic)))
+    docs += [(300, None), (301, ""), (302, "?!"), (None, "trash ab"), (5, "second text of five"), (303, docs[7][1])]
+    labels += [(7, 1), (None, 1), (9, None)]
+    few = [d for d in docs if d[0] is None or d[0] % 2 or any(d[0] == i for i, _ in labels)]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    seen = []
+    for own in (docs, few):
+        frame = spark.createDataFrame([(i, t, 1.5, "p") for i, t in own], "doc_id long, text string, score double, part string")
+        model = toxicity.train(frame, marks)
+        found = model.features(pa.array([t for _, t in own]))[:, 0]
+        assert np.allclose(found, models_by_hand(own, labels), atol=2e-6)
+        seen.append(dict(zip(own, found.tolist())))
+    assert any(abs(seen[0][d] - seen[1][d]) > 1e-6 for d in few)
+
+
+def test_the_size_of_the_models_is_bounded(spark, docs, labels):
+    model = toxicity.train(docs.where("doc_id < 1500"), labels, known=50)
+    assert [len(h) for h in model.hashes] == [50, 50, 50] and all(np.isfinite(e).all() for e in model.evidence)
+
+
 def test_quality_of_held_out_documents(docs, labels):
     rows = quality.rated(docs, labels).join(labels, "doc_id").where("held_out").collect()
     poor = [r for r in rows if r["quality"] == 0]
