@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import Scratch
+from ledgerloom.llm.shared import Scratch, broadcast_if_few
 
 
 def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -45,3 +45,22 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
         seen = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def smallest_ids(rows: DataFrame, node: str, id_: str, found: DataFrame, work: Scratch) -> DataFrame:
+    """``node, component_id`` for every node that is in ``found`` or that several of the stored ``rows`` share.
+
+    ``component_id`` is the smallest ``id_`` of all rows of the component's nodes; other rows are
+    their own. Copies are counted per node before anything is joined, and what is joined is stored, so
+    a node or component of many rows is split like any other.
+    """
+    nodes = work.store(rows.groupBy(node).agg(F.min(id_).alias("least"), F.count("*").alias("held")))
+    found = found.withColumnRenamed("node", node)
+    linked = work.store(found.join(nodes, node))
+    least = work.store(linked.groupBy("component").agg(F.min("least").alias("component_id")))
+    several = nodes.where("held > 1").join(linked, node, "left_anti")
+    return (
+        linked.join(broadcast_if_few(least), "component")
+        .select(node, "component_id")
+        .union(several.select(node, F.col("least").alias("component_id")))
+    )

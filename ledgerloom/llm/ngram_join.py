@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, smallest_ids
 from ledgerloom.llm.hashed_words import set_hashes, shingle_sets, sliced, word_hashes
 from ledgerloom.llm.shared import Scratch, broadcast_if_few, partitions, scratch
 
@@ -415,35 +415,31 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     each other. Rows with equal doc_id are documents of their own with that id; a null
     doc_id links as any other and names no component. Other columns are not read.
     """
-    return component_ids(*_signed_and_found(docs, width, percent))
+    kept = Scratch(docs.sparkSession, "ngram-join")
+    signed, found = _signed_and_found(docs, width, percent, kept)
+    with scratch(docs.sparkSession, "ngram-join") as work:
+        own = signed.where("n_shingles > 0")
+        groups = kept.store(smallest_ids(own, "class", "doc_id", found, work))
+    # Class 0, of no words, is in no group.
+    return signed.join(broadcast_if_few(groups), "class", "left").select(
+        "doc_id", "n_shingles", "class", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
 
 
 def near_duplicate_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``doc_id, copy, part`` for every row with words: the text's 64-bit hash and the component, whatever its ids."""
-    return _parts(*_signed_and_found(docs, width, percent, copies=True)).select("doc_id", "copy", "part")
+    kept = Scratch(docs.sparkSession, "ngram-join")
+    signed, found = _signed_and_found(docs, width, percent, kept, copies=True)
+    found = found.select(F.col("node").alias("class"), F.col("component").alias("part"))
+    rows = signed.where("n_shingles > 0").join(broadcast_if_few(found), "class", "left")
+    return rows.select("doc_id", "copy", F.coalesce("part", "class").alias("part"))
 
 
-def _signed_and_found(docs: DataFrame, width: int, percent: int, copies: bool = False) -> tuple[DataFrame, DataFrame]:
-    spark = docs.sparkSession
-    kept = Scratch(spark, "ngram-join")
+def _signed_and_found(
+    docs: DataFrame, width: int, percent: int, kept: Scratch, copies: bool = False
+) -> tuple[DataFrame, DataFrame]:
     signed = kept.store(signatures(docs, width, copies))
-    with scratch(spark, "ngram-join") as work:
+    with scratch(docs.sparkSession, "ngram-join") as work:
         shared = work.store(alive_sets(shared_ngrams(docs, width), percent))
         found = kept.store(connected_components(similar_links(shared, work, percent), work))
     return signed, found
-
-
-def _parts(signed: DataFrame, found: DataFrame) -> DataFrame:
-    found = found.select(F.col("node").alias("class"), F.col("component").alias("part"))
-    return signed.where("n_shingles > 0").join(found, "class", "left").withColumn("part", F.coalesce("part", "class"))
-
-
-def component_ids(signed: DataFrame, found: DataFrame) -> DataFrame:
-    """The smallest doc_id for each component of classes, for every document."""
-    parts = _parts(signed, found)
-    least = parts.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    joined = parts.join(least, "part").select("doc_id", "n_shingles", "class", "component_id")
-    alone = signed.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", "class", F.col("doc_id").alias("component_id")
-    )
-    return joined.union(alone)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.hashed_words import sliced
-from ledgerloom.llm.shared import Scratch
+from ledgerloom.llm.shared import Scratch, learnt
 
 CAPACITY = 4096
 END_ID = 1
@@ -88,14 +88,9 @@ class RunIds(dict):
             yield b"".join(map(self.__getitem__, runs))
 
 
-_known: dict[str, RunIds] = {}
-
-
 def run_ids(path: str) -> RunIds:
     """One per worker and file: what it has learnt serves the worker's next tasks."""
-    if path not in _known:
-        _known[path] = RunIds(path)
-    return _known[path]
+    return learnt("run ids", path, make=lambda: RunIds(path))
 
 
 def pieces(

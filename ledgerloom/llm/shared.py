@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -57,6 +57,21 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+_learnt: dict[tuple, object] = {}
+
+
+def learnt(*key, make: Callable[[], object] | None = None):
+    """What a Python worker has learnt in earlier tasks of this kind; tasks of another kind end it.
+
+    Workers serve one task after another, so what each kind of task kept would add up. A kind that
+    keeps nothing names itself without ``make``.
+    """
+    if key not in _learnt:
+        _learnt.clear()
+        _learnt[key] = make() if make else None
+    return _learnt[key]
+
+
 def workers_find_package(spark: SparkSession) -> None:
     """Lets Python workers on this machine import this package from where the driver has it.
 

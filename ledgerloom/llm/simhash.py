@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, smallest_ids
 from ledgerloom.llm.hashed_words import sliced
 from ledgerloom.llm.shared import Scratch, broadcast_if_few, scratch
 
@@ -279,19 +279,11 @@ def near_duplicates(
     kept = Scratch(docs.sparkSession, "simhash")
     signed = kept.store(fingerprints(docs, width))
     with scratch(docs.sparkSession, "simhash") as work:
-        classes = work.store(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
-        prints = classes.select("fingerprint")
+        prints = work.store(signed.select("fingerprint").distinct())
         chosen = pivots_of(prints, pivots)
         links = work.store(links_in_buckets(buckets(prints, work, distance, bucket), chosen, distance))
-        found = connected_components(links, work).withColumnRenamed("node", "fingerprint")
-        linked = work.store(found.join(classes, "fingerprint"))
-        least = work.store(linked.groupBy("component").agg(F.min("least").alias("component_id")))
-        several = classes.join(linked, "fingerprint", "left_anti").where("rows > 1")
-        groups = kept.store(
-            linked.join(broadcast_if_few(least), "component")
-            .select("fingerprint", "component_id")
-            .union(several.select("fingerprint", "least"))
-        )
+        found = connected_components(links, work)
+        groups = kept.store(smallest_ids(signed, "fingerprint", "doc_id", found, work))
     return signed.join(broadcast_if_few(groups), "fingerprint", "left").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.hashed_words import sliced
 from ledgerloom.llm.packing import byte_characters
-from ledgerloom.llm.shared import Scratch
+from ledgerloom.llm.shared import Scratch, learnt
 
 LIMIT = 512
 
@@ -233,14 +233,9 @@ class Scanner(dict):
 # A character that is no white space and no part of a special string's edge, then ASCII white space.
 SYNCHRONISES = re.compile(r"[^\s](?=[ \t\n\r\x0b\x0c])")
 
-_scanners: dict[str, Scanner] = {}
-
-
 def scanner(path: str) -> Scanner:
     """One per worker and file: what it has compiled serves the worker's next tasks."""
-    if path not in _scanners:
-        _scanners[path] = Scanner(path)
-    return _scanners[path]
+    return learnt("scanner", path, make=lambda: Scanner(path))
 
 
 MAPS = "doc_id long, n_bytes long, row string, at int, head string, tokens long, tail string, whole boolean"

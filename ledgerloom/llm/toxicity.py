@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import labelled
 from ledgerloom.llm.hashed_words import NOT_WORD, byte_planes, from_byte_planes, mix, sliced, word_hashes
-from ledgerloom.llm.shared import partitions, scratch
+from ledgerloom.llm.shared import learnt, partitions, scratch
 
 #: Labelled documents for each class: for the counts, for the calibration.
 MOST = 6000
@@ -194,6 +194,7 @@ def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
 
     def pairs(batches):
         known = sent.value
+        learnt("toxicity")
         held, n = [], 0
         for batch in batches:
             for part in sliced(batch, "text"):
@@ -374,6 +375,7 @@ def score_column(docs: DataFrame, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
+        learnt("toxicity")
         return pa.array(sent.value.score(text))
 
     return score(F.col("text").cast("string"))

@@ -262,3 +262,44 @@ def test_the_whole_pipeline(spark):
     assert (found.groupby("sequence_id")["length"].sum() <= 4096).all()
     pieces = found.sort_values(["doc_id", "piece"]).groupby("doc_id")
     assert (pieces["piece"].apply(list).map(lambda p: p == list(range(len(p))))).all()
+
+
+CLASHES = ["copy", "gone", "own", "n", "stays", "Row_0", "row_1", "part", "unnamed", "first", "all", "grade", "class", "score", "words", "a.b"]
+
+
+def clashing(spark, rows):
+    schema = TEXTS + ", " + ", ".join(f"`{c}` string" for c in CLASHES)
+    return spark.createDataFrame([(i, t, "en", "s", 0, *CLASHES) for i, t in rows], schema)
+
+
+def test_stages_leave_extra_columns_and_odd_rows_alone(spark):
+    base = [f"w{k * 7919 % 500}" for k in range(60)]
+    rows = [*ODD, (10, " ".join(base)), (11, " ".join([*base[:-2], "other", "end"])), (12, " ".join(base)), (12, " ".join(base))]
+    docs = clashing(spark, rows)
+    judged = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == docs.columns, name
+        found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+        assert set(found) <= set(rows) and all(r["a.b"] == "a.b" and r["Row_0"] == "Row_0" for r in kept.collect())
+        judged.append(found)
+        if name != "n-gram Jaccard join":  # rows are judged by their texts
+            gone = [t for _, t in rows if t not in {t for _, t in found}]
+            assert sorted(found, key=str) == sorted(((i, t) for i, t in rows if t not in gone), key=str)
+    near = judged[2]
+    assert sorted(i for i, _ in near if i and i > 6) == [10] and [i for i, _ in near].count(4) == 1
+    assert {(1, None), (2, ""), (3, " \n "), (None, "no id")} <= set(near)
+    assert sorted(judged[3], key=str) == sorted(rows, key=str)
+    packed = corpus_pipeline.best_fit_packing(spark, docs, SMALL)
+    assert packed.where("piece = 0").count() == len(rows)
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = clashing(spark, ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        assert stage(spark, docs.limit(0), SMALL).count() == 0, name
+    assert corpus_pipeline.toxicity(spark, docs, str(tmp_path)).count() == len(ODD)
+    assert corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).count() == len(ODD)
