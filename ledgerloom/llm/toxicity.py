@@ -51,7 +51,7 @@ DISCOUNT = 1.0
 SHARE = 0.02
 
 #: Pairs that a task makes distinct at once.
-PAIRS = 2_000_000
+PAIRS = 1_000_000
 
 STEMS = (5, 4)
 WORD, STEM5, STEM4 = LEVELS = range(3)
@@ -162,6 +162,33 @@ def vocabulary(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, list[
 # Shared counts.
 
 
+def _distinct(before: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, in order."""
+    order = np.lexsort((numbers, before))
+    before, numbers = before[order], numbers[order]
+    fresh = np.ones(len(before), dtype=bool)
+    fresh[1:] = (before[1:] != before[:-1]) | (numbers[1:] != numbers[:-1])
+    return before[fresh], numbers[fresh]
+
+
+def _packed(before: np.ndarray, numbers: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Ordered pairs as words before, how many pairs each has, and the gaps between its numbers."""
+    first = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
+    each = np.diff(np.append(first, len(before)))
+    gaps = np.diff(numbers, prepend=0)
+    gaps[first] = numbers[first]
+    return byte_planes(np.diff(before[first], prepend=np.uint64(0))), byte_planes(each.astype("<u4")), byte_planes(gaps.astype("<u4"))
+
+
+def _unpacked(before: bytes, each: bytes, numbers: bytes) -> tuple[np.ndarray, np.ndarray]:
+    each = from_byte_planes(each, "<u4").astype(np.int64)
+    gaps = from_byte_planes(numbers, "<u4").astype(np.int64)
+    first = np.cumsum(each) - each
+    sums = np.cumsum(gaps)
+    numbers = sums - np.repeat(sums[first] - gaps[first], each)
+    return np.repeat(np.cumsum(from_byte_planes(before, "<u8"), dtype=np.uint64), each), numbers.astype(np.int32)
+
+
 def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
     """By number: after how many different words each known expression occurs in all documents.
 
@@ -173,24 +200,16 @@ def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
     total = known.first[-1]
 
     def pack(known, held):
-        before, numbers = (np.concatenate(c) for c in zip(*held, strict=True))
-        stem = known.at_level(numbers, STEM4)
-        part = mix(before + stem.astype(np.uint64)) % np.uint64(ranges)
-        order = np.lexsort((numbers, before, part))
+        before, numbers = _distinct(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        stem = known.at_level(numbers, STEM4).astype(np.uint64)
+        part = (mix(before + stem) % np.uint64(ranges)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
         before, numbers, part = before[order], numbers[order], part[order]
-        fresh = np.ones(len(part), dtype=bool)
-        fresh[1:] = (before[1:] != before[:-1]) | (numbers[1:] != numbers[:-1])
-        before, numbers, part = before[fresh], numbers[fresh], part[fresh].astype(np.int64)
         bounds = np.searchsorted(part, np.arange(ranges + 1))
-        rows = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([k for k, _ in rows], pa.int32()),
-                pa.array([byte_planes(np.diff(before[own], prepend=np.uint64(0))) for _, own in rows], pa.binary()),
-                pa.array([byte_planes(numbers[own].astype("<u4")) for _, own in rows], pa.binary()),
-            ],
-            names=["part", "before", "numbers"],
-        )
+        rows = [(k, *_packed(before[a:b], numbers[a:b])) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["part", "before", "each", "numbers"]
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     def pairs(batches):
         known = sent.value
@@ -201,7 +220,7 @@ def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
                 found, before, _ = expressions(part.column("text"))
                 numbers = known.deepest(found)
                 some = numbers != UNKNOWN
-                held.append((before[some], numbers[some]))
+                held.append((before[some], numbers[some].astype(np.int32)))
                 n += int(some.sum())
                 if n >= PAIRS:
                     yield pack(known, held)
@@ -211,28 +230,25 @@ def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
 
     def count(batches):
         known = sent.value
-        before, numbers = [], []
-        for batch in batches:
-            for gaps, own in zip(batch.column("before").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
-                before.append(np.cumsum(from_byte_planes(gaps, "<u8"), dtype=np.uint64))
-                numbers.append(from_byte_planes(own, "<u4").astype(np.int64))
-        if not before:
+        held = [
+            _unpacked(*row)
+            for batch in batches
+            for row in zip(*(batch.column(c).to_pylist() for c in ("before", "each", "numbers")), strict=True)
+        ]
+        if not held:
             return
-        before, numbers = np.concatenate(before), np.concatenate(numbers)
+        before, numbers = _distinct(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        held.clear()
         for level in LEVELS:
             # All pairs of a word before and a stem are in this range, whatever follows the stem.
             own = known.at_level(numbers, level)
             some = own != UNKNOWN
-            order = np.lexsort((own[some], before[some]))
-            one, two = before[some][order], own[some][order]
-            fresh = np.ones(len(one), dtype=bool)
-            fresh[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            number, n = np.unique(two[fresh], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(n)], names=["number", "n"])
+            number, n = np.unique(_distinct(before[some], own[some])[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(n)], names=["number", "n"])
 
     counted = (
         docs.select(F.col("text").cast("string"))
-        .mapInArrow(pairs, "part int, before binary, numbers binary")
+        .mapInArrow(pairs, "part int, before binary, each binary, numbers binary")
         .repartitionById(ranges, F.col("part"))
         .mapInArrow(count, "number long, n long")
         .groupBy("number")
