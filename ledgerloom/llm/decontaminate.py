@@ -4,9 +4,12 @@ Numbers, names and units become typed placeholders, so a question with other val
 same template. Windows of ``WINDOW`` template words of benchmark items and documents meet
 in a hash join, once with placeholders for names and once with the names as lower-case words,
 so that neither case nor punctuation hides a copy. Where enough windows of an item follow each
-other in a document, the values in the slots are compared: a question that was only given other
-values has one value in the document for each value of the item. Values that go together
-otherwise belong to another question, unless ``VERBATIM`` words in a row are the item's own.
+other in a document, the values in the slots are compared: a name or unit of the item, or a number
+of it before the same word, stands for one thing, so a question that was only given other values has
+one value for it wherever it stands. (Equal numbers before different words may be equal by
+chance, so nothing is asked of them.) A slot agrees when most places of its thing have its value in
+the document. Where less than ``CONSISTENT`` of all slots agree, by weight (units count half), the
+text is another question, unless ``VERBATIM`` words in a row are the item's own.
 
 Items without a window that is evidence (short ones, those of placeholders) are looked for as
 they are: all their words, values included, in a hash join of windows of their own length.
@@ -17,13 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import Scratch, broadcast_if_few
+from ledgerloom.llm.shared import Scratch, broadcast_if_few, broadcast_if_light
 
 WINDOW = 8
 #: Words of a window that are no placeholders.
 PLAIN = 5
 #: Words in a row with their values that are a copy, however other values go together: two windows side by side.
 VERBATIM = 2 * WINDOW
+#: The part of the slots, by weight, whose values must go together.
+CONSISTENT = 0.8
+UNIT_WEIGHT = 0.5
 #: Words in a row that an item and a document must share (all of a shorter item's).
 LEAST_WORDS = 13
 
@@ -87,9 +93,10 @@ def contaminated(
     """``doc_id, item_id, first_word, n_words, n_slots, changed_slots``: items that documents hold.
 
     One row for each document and item, with the longest place where they meet; ``first_word``
-    counts the document's words from 0. Null texts, and items without words, match nothing. Rows of ``docs`` with equal doc_id are searched each for itself and give one
-    row together; null ids match as any other. Empty tables give no rows; other columns are
-    not read.
+    counts the document's words from 0. Null and empty texts, and items without words, match
+    nothing; texts of any length are read whole. Rows of ``docs`` with equal doc_id are searched
+    each for itself and give one row together; null ids match as any other. Empty tables give no
+    rows; other columns are not read.
     """
     best = held(docs, benchmark, width=width, plain=plain, least=least).groupBy("doc_id", "item_id").agg(F.max("r").alias("r"))
     return best.select(
@@ -135,11 +142,11 @@ def held(docs: DataFrame, benchmark: DataFrame, *, width: int = WINDOW, plain: i
     at = lambda words: F.transform(windows(words, width), lambda h, k: F.struct(k.alias("at"), h.alias("window")))
     both_ways = F.concat(at("words"), F.when(F.col("folded").isNotNull(), at("folded")).otherwise(F.array().cast("array<struct<at:int,window:bigint>>")))
     met = (
-        texts.select("doc_id", "copy", "text", template(F.col("text")).alias("words"))
-        .select("doc_id", "copy", "words", folded("words", F.col("text")).alias("folded"))
-        .select("doc_id", "copy", F.inline(both_ways))
+        texts.select("copy", "text", template(F.col("text")).alias("words"))
+        .select("copy", "words", folded("words", F.col("text")).alias("folded"))
+        .select("copy", F.inline(both_ways))
         .join(listed, "window")
-        .groupBy("doc_id", "copy", "item_id", "item_text", (F.col("at") - F.col("item_at")).alias("shift"))
+        .groupBy("copy", "item_id", "item_text", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(
             F.countDistinct("item_at").alias("met"),
             F.min("item_at").alias("first"),
@@ -160,8 +167,9 @@ def held(docs: DataFrame, benchmark: DataFrame, *, width: int = WINDOW, plain: i
         .withColumn("folded", F.coalesce(folded("words", F.col("text")), "words"))
         .drop("text")
     )
-    # Items and documents are wide, so neither is sent whole.
-    both = met.join(kept.store(again).hint("merge"), "copy").join(items.hint("merge"), ["item_id", "item_text"])
+    # Documents are wide and not sent whole, items where they are light: many documents may hold one.
+    light = broadcast_if_light(items, 8 * F.length("text"))
+    both = met.join(kept.store(again).hint("merge"), "copy").join(light, ["item_id", "item_text"])
     # The place goes on, beyond the windows that met, for as long as the templates agree.
     place = F.sequence(F.lit(0), F.size("item_words") - 1)
     there = lambda k: k + F.col("shift").cast("int")
@@ -179,21 +187,31 @@ def held(docs: DataFrame, benchmark: DataFrame, *, width: int = WINDOW, plain: i
     part = lambda own, other: (
         F.slice(own, F.col("begin") + 1, n), F.slice(other, F.col("begin") + 1 + F.col("shift"), n)
     )
-    place = F.arrays_zip(*part("item_words", "words"), *part("item_values", "values"), *part("item_folded", "folded"))
+    after = F.slice("item_words", F.col("begin") + 2, n)  # the word after each
+    place = F.arrays_zip(*part("item_words", "words"), *part("item_values", "values"), *part("item_folded", "folded"), after)
     typed = lambda p, own, other: (p[own] == p[other]) & p[own].rlike(PLACEHOLDER)
     slots = F.filter(place, lambda p: typed(p, "0", "1") | typed(p, "4", "5"))
     both = both.where(n >= F.least(F.lit(least), F.col("n") - width + plain))
-    return slots_consistent(both, slots, n, F.transform(place, lambda p: p["2"] == p["3"])).unionByName(whole)
+    found = kept.store(slots_consistent(both, slots, n, F.transform(place, lambda p: p["2"] == p["3"])))
+    # Texts were judged once each; every row with such a text holds what it holds.
+    return texts.select("doc_id", "copy").join(broadcast_if_few(found), "copy").select("doc_id", "copy", "item_id", "r").unionByName(whole)
 
 
 def slots_consistent(both: DataFrame, slots: Column, n: Column, equal: Column) -> DataFrame:
-    """Keeps places where each item value has one value in the document, or that hold a long verbatim run."""
+    """Keeps places where enough of the slots' values go together, or that hold a long verbatim run."""
+    number = lambda p: p["0"].contains("<num>") | p["4"].contains("<num>")
+    thing = lambda p: F.when(number(p), F.concat_ws(" ", p["2"], p["6"])).otherwise(p["2"])
+    weight = lambda p: F.when(p["0"] == "<unit>", F.lit(UNIT_WEIGHT)).otherwise(F.lit(1.0))
+    slot = lambda p: F.struct(p["2"].alias("x"), p["3"].alias("y"), thing(p).alias("thing"), weight(p).alias("weight"))
     both = both.select(
-        "doc_id", "copy", "item_id", (F.col("begin") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
-        F.transform(slots, lambda p: F.struct(p["2"].alias("x"), p["3"].alias("y"))).alias("slots"),
+        "copy", "item_id", (F.col("begin") + F.col("shift")).alias("first_word"), n.alias("n_words"), "met",
+        F.transform(slots, slot).alias("slots"),
         equal.alias("equal"),
     ).withColumn("unlike", F.filter(F.transform("equal", lambda e, k: F.when(~e, k)), lambda k: k.isNotNull()))
-    one_each = F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.x"))
+    alike = lambda p: F.filter("slots", lambda q: q["thing"] == p["thing"])
+    agrees = lambda p: 2 * F.size(F.filter(alike(p), lambda q: q["y"] == p["y"])) > F.size(alike(p))
+    sum_ = lambda of: F.aggregate(of, F.lit(0.0), lambda s, p: s + p["weight"])
+    consistent = sum_(F.filter("slots", agrees)) >= CONSISTENT * sum_("slots")
     runs = F.zip_with(
         F.concat("unlike", F.array(F.size("equal"))), F.concat(F.array(F.lit(-1)), "unlike"), lambda stop, before: stop - before - 1
     )
@@ -202,7 +220,7 @@ def slots_consistent(both: DataFrame, slots: Column, n: Column, equal: Column) -
         F.size("slots").alias("n_slots"),
         F.size(F.filter("slots", lambda p: p["x"] != p["y"])).alias("changed"),
     )
-    return both.where(one_each | (F.array_max(runs) >= VERBATIM)).select("doc_id", "copy", "item_id", row.alias("r"))
+    return both.where(consistent | (F.array_max(runs) >= VERBATIM)).select("copy", "item_id", row.alias("r"))
 
 
 def _whole_items(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:

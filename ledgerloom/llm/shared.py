@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.tables import fresh_folder, store
 
 #: Rows of a table of ids or hashes that may be sent to every executor (some ten MB).
 BROADCAST_ROWS = 500_000
+#: Bytes of a table of wide rows that may be sent.
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +55,12 @@ def broadcast_if_few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few else df.hint("merge")
 
 
+def broadcast_if_light(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (a stored table) with a hint: sent whole while the sum of ``size`` (bytes of a row) is up to ``limit``, else merged."""
+    light = (df.agg(F.sum(size)).first()[0] or 0) <= limit
+    return F.broadcast(df) if light else df.hint("merge")
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

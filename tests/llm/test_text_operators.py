@@ -206,6 +206,87 @@ def test_values_that_meet_in_one_value_and_long_copies_with_an_edited_value(spar
     assert (1, 1) in found and (2, 2) in found and not any(doc == 3 for doc, _ in found)
 
 
+TOM = "Tom has 2 apples and buys 2 more at the market before he gives 7 pears to his old friend who lives there"
+
+
+def test_equal_numbers_before_different_words_may_part(spark):
+    """A name or a number before the same word is one thing; equal numbers elsewhere are not."""
+    names = "So Mary met Paul near the old bridge and then Mary told Paul where Mary and Paul would meet again one day"
+    docs = {1: TOM.replace("has 2", "has 3").replace("buys 2", "buys 5").replace("7", "9"), 2: TOM.replace("buys 2", "buys 5")}
+    docs |= {3: names.replace("Mary", "Lena").replace("Paul", "Otto"), 4: names.replace("Mary told Paul", "Lena told Otto"), 5: MIXED}
+    docs |= {6: names.replace("where Mary", "where Lena")}  # one place of six
+    found = found_items(spark, docs, {1: TOM, 2: names, 3: ITEM})
+    assert {(1, 1), (2, 1), (3, 2), (6, 2)} <= set(found) and not any(doc in (4, 5) for doc, _ in found)
+
+
+def agree_by_hand(slots):
+    """Slots (kind, item's value, document's value, word after)."""
+    thing = [(x, after) if "<num>" in kind else (x,) for kind, x, _, after in slots]
+    good = whole = 0.0
+    for k, (kind, _, y, _) in enumerate(slots):
+        weight = 0.5 if kind == "<unit>" else 1.0
+        alike = [slots[j][2] for j in range(len(slots)) if thing[j] == thing[k]]
+        whole += weight
+        good += weight * (2 * alike.count(y) > len(alike))
+    return good >= 0.8 * whole
+
+
+def test_slots_equal_brute_force(spark):
+    """Random places of one template: kept exactly where the values go together by a plain count."""
+    rng = random.Random(9)
+    item = (
+        "if <name> the old man sells <num> pears to them each day and <name> buys <num> pears that they like then walks"
+        " <num> <unit> home how far are they now from <name>"
+    )
+    words = item.split()
+    kinds = [(k, w) for k, w in enumerate(words) if w.startswith("<")]
+    rows, expected = [], set()
+    for doc in range(150):
+        own, other = list(words), list(words)
+        slots = []
+        for k, kind in kinds:
+            pool = {"<name>": ["Anna", "Otto"], "<num>": ["2", "3"], "<unit>": ["km"]}[kind]
+            own[k] = pool[doc % 2 if kind == "<name>" else rng.randrange(len(pool)) if kind == "<num>" else 0]
+            other[k] = own[k] if rng.random() < 0.7 else {"<name>": "Lena", "<num>": "8", "<unit>": "miles"}[kind]
+            slots.append((kind, own[k].lower(), other[k].lower(), words[k + 1] if k + 1 < len(words) else ""))
+        rows.append((doc, " ".join(own), " ".join(other)))
+        same = [a == b for a, b in zip(own, other)]
+        run = max(map(len, "".join("x" if s else " " for s in same).split(" ")))
+        if agree_by_hand(slots) or run >= decontaminate.VERBATIM:
+            expected.add(doc)
+    found = set()
+    items = {doc: own for doc, own, _ in rows}
+    texts = {doc: other for doc, _, other in rows}
+    for doc, item_id in found_items(spark, texts, items):
+        if doc == item_id:
+            found.add(doc)
+    assert 20 < len(expected) < 140
+    assert found == expected
+
+
+def test_edited_copies_of_the_given_items_are_found(spark):
+    """Every given item of slots or long enough, in a text, with other names and numbers."""
+    given = {r["item_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()}
+    rng = random.Random(3)
+
+    def edited(text):
+        names = {}
+        words = text.split(" ")
+        for k in range(1, len(words)):
+            bare = words[k].strip(".,;:!?")
+            if bare[:1].isupper() and words[k - 1][-1:].islower():
+                words[k] = words[k].replace(bare, names.setdefault(bare, f"Name{chr(97 + len(names))}"))
+            if bare.isdigit():
+                words[k] = words[k].replace(bare, str(rng.randrange(1000)))
+        return " ".join(words)
+
+    noise = " ".join(f"word{k}" for k in range(30))
+    docs = {i: f"{noise} {edited(t)} {noise}" for i, t in given.items()}
+    found = found_items(spark, docs, given)
+    caught = sum((i, i) in found for i in given)
+    assert caught >= 0.98 * len(given)
+
+
 def test_copies_are_found_whatever_their_case_and_punctuation(spark):
     item = "Every day Mary and Paul carry water. Then Susan pours it into the tank. How many days pass until Mary is done with 20 buckets?"
     bare = "".join(c for c in item if c not in ".,?")
