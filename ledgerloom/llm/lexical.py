@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.hashed_words import NOT_WORD, sliced, word_hashes
-from ledgerloom.llm.shared import BROADCAST_ROWS, Scratch, scratch
+from ledgerloom.llm.shared import BROADCAST_ROWS, Scratch, scratch, tidied
 
 K = 50
 
@@ -111,7 +111,7 @@ def index_slabs(docs: DataFrame, listed: np.ndarray | None) -> DataFrame:
         if n_docs:
             yield slab(held, ids, lengths)
 
-    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SLAB)
+    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), SLAB)
     return found.withColumn("slab", F.monotonically_increasing_id())
 
 
@@ -128,7 +128,7 @@ def item_terms(items: DataFrame) -> DataFrame:
                 item = np.repeat(part.column("item").to_numpy(), np.diff(rows))
                 yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(words.view(np.int64))], names=["item", "term"])
 
-    return items.select("item", "text").mapInArrow(run, "item long, term long").distinct()
+    return items.select("item", "text").mapInArrow(tidied(run), "item long, term long").distinct()
 
 
 def weights(slabs: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
@@ -140,7 +140,7 @@ def weights(slabs: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
                 n = np.diff(np.frombuffer(starts, "<u4").astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(held, "<i8")), pa.array(n)], names=["term", "n"])
 
-    df = slabs.where("entries > 0").select("terms", "starts").mapInArrow(run, "term long, n long")
+    df = slabs.where("entries > 0").select("terms", "starts").mapInArrow(tidied(run), "term long, n long")
     df = df.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
     share = F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1).cast("double")
     return df.select("term", F.floor(F.lit(1000.0) * F.log(share)).cast("long").alias("weight"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components, smallest_ids
 from ledgerloom.llm.hashed_words import set_hashes, shingle_sets, sliced, word_hashes
-from ledgerloom.llm.shared import Scratch, broadcast_if_few, partitions, scratch
+from ledgerloom.llm.shared import Scratch, broadcast_if_few, partitions, scratch, tidied
 
 WIDTH = 5
 PERCENT = 75
@@ -80,7 +80,7 @@ def signatures(docs: DataFrame, width: int = WIDTH, copies: bool = False) -> Dat
 
     own = [F.xxhash64("text").alias(c) for c in more]
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *own).mapInArrow(
-        run, ", ".join(["doc_id long, n_shingles long, class long", *(f"{c} long" for c in more)])
+        tidied(run), ", ".join(["doc_id long, n_shingles long, class long", *(f"{c} long" for c in more)])
     )
 
 
@@ -190,9 +190,9 @@ def shared_ngrams(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     return (
         docs.select(F.col("text").cast("string"))
-        .mapInArrow(pack, "part int, ngrams binary, owner binary, classes binary, sizes binary")
+        .mapInArrow(tidied(pack), "part int, ngrams binary, owner binary, classes binary, sizes binary")
         .repartitionById(ranges, F.col("part"))
-        .mapInArrow(merge, "class long, size int, ngram long, df long")
+        .mapInArrow(tidied(merge), "class long, size int, ngram long, df long")
     )
 
 
@@ -232,7 +232,7 @@ def alive_sets(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
             )
 
     return shared.repartition("class").mapInArrow(
-        gather, "class long, size int, first int, ngrams array<long>"
+        tidied(gather), "class long, size int, first int, ngrams array<long>"
     )
 
 

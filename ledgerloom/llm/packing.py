@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.hashed_words import sliced
-from ledgerloom.llm.shared import Scratch, learnt
+from ledgerloom.llm.shared import Scratch, learnt, tidied
 
 CAPACITY = 4096
 END_ID = 1
@@ -122,7 +122,7 @@ def pieces(
                     [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:

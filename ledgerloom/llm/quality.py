@@ -15,6 +15,7 @@ numbers a task, and the driver only moves the weights.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import labelled
 from ledgerloom.llm.hashed_words import WHITE, mix, sliced, text_bytes, word_hashes
-from ledgerloom.llm.shared import Scratch
+from ledgerloom.llm.shared import Scratch, tidied
 
 BITS = 16
 CELLS = 1 << BITS
@@ -135,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, steps: int = STE
                 yield pa.RecordBatch.from_arrays([part.column("grade"), pa.array(own, pa.binary())], names=["grade", "cells"])
 
     described = kept.store(
-        labelled.texts(docs, chosen).mapInArrow(describe, "grade int, cells binary").repartition(TASKS)
+        labelled.texts(docs, chosen).mapInArrow(tidied(describe), "grade int, cells binary").repartition(TASKS)
     )
     counts = {row["grade"]: row["n"] for row in described.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -168,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, steps: int = STE
                  "by_threshold": pa.array([by_threshold.tobytes()], pa.binary()), "total": [total]}
             )
 
-        found = described.mapInArrow(run, "by_cell binary, by_threshold binary, total double").toArrow().to_pylist()
+        found = described.mapInArrow(tidied(run), "by_cell binary, by_threshold binary, total double").toArrow().to_pylist()
         return (
             sum(np.frombuffer(row["by_cell"]) for row in found),
             sum(np.frombuffer(row["by_threshold"]) for row in found),
@@ -195,8 +196,8 @@ def position_column(docs: DataFrame, model: Model) -> Column:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def position(text: pa.Array) -> pa.Array:
-        return pa.array(sent.value.position(text))
+    def position(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from tidied(lambda own: (pa.array(sent.value.position(text)) for text in own))(texts)
 
     return position(F.col("text").cast("string"))
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components, smallest_ids
 from ledgerloom.llm.hashed_words import sliced
-from ledgerloom.llm.shared import Scratch, broadcast_if_few, scratch
+from ledgerloom.llm.shared import Scratch, broadcast_if_few, scratch, tidied
 
 WIDTH = 4
 SEED = 42
@@ -122,7 +122,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), found], names=["doc_id", "fingerprint"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fingerprint long"
+        tidied(run), "doc_id long, fingerprint long"
     )
 
 
@@ -259,7 +259,7 @@ def links_in_buckets(rows: DataFrame, pivots: np.ndarray, distance: int = DISTAN
         if held:
             yield found(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(run), "a long, b long")
 
 
 # 4. Documents.

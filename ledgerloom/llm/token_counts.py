@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.hashed_words import sliced
 from ledgerloom.llm.packing import byte_characters
-from ledgerloom.llm.shared import Scratch, learnt
+from ledgerloom.llm.shared import Scratch, learnt, tidied
 
 LIMIT = 512
 
@@ -266,7 +266,7 @@ def chunk_maps(docs: DataFrame, tokenizer: str, chunk: int = CHUNK) -> DataFrame
                     [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, MAPS)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), MAPS)
 
 
 def composed(maps: DataFrame, tokenizer: str, last: bool) -> DataFrame:

@@ -27,6 +27,7 @@ whoever owns a pair's range counts it once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import labelled
 from ledgerloom.llm.hashed_words import NOT_WORD, byte_planes, from_byte_planes, mix, sliced, word_hashes
-from ledgerloom.llm.shared import learnt, partitions, scratch
+from ledgerloom.llm.shared import learnt, partitions, scratch, tidied
 
 #: Labelled documents for each class: for the counts, for the calibration.
 MOST = 6000
@@ -140,7 +141,7 @@ def class_counts(texts: DataFrame) -> DataFrame:
                         names=["level", "hash", "parent", "toxic", "ordinary"],
                     )
 
-    counted = texts.mapInArrow(count, "level int, hash long, parent long, toxic long, ordinary long")
+    counted = texts.mapInArrow(tidied(count), "level int, hash long, parent long, toxic long, ordinary long")
     return counted.groupBy("level", "hash", "parent").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -248,9 +249,9 @@ def continuations(docs: DataFrame, known: Vocabulary) -> np.ndarray:
 
     counted = (
         docs.select(F.col("text").cast("string"))
-        .mapInArrow(pairs, "part int, before binary, each binary, numbers binary")
+        .mapInArrow(tidied(pairs), "part int, before binary, each binary, numbers binary")
         .repartitionById(ranges, F.col("part"))
-        .mapInArrow(count, "number long, n long")
+        .mapInArrow(tidied(count), "number long, n long")
         .groupBy("number")
         .agg(F.sum("n").alias("n"))
         .toArrow()  # a row for each known expression at most
@@ -376,7 +377,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, calibration: int
                         names=["grade", "a", "b"],
                     )
 
-        rows = texts.where("part = 1").select("grade", "text").mapInArrow(measure, "grade int, a double, b double").toArrow()
+        rows = texts.where("part = 1").select("grade", "text").mapInArrow(tidied(measure), "grade int, a double, b double").toArrow()
         sent.unpersist()
     y, *x = (rows.column(k).to_numpy() for k in range(3))
     # Beside the calibration rows, one that keeps texts without words on the ordinary side.
@@ -390,9 +391,9 @@ def score_column(docs: DataFrame, model: Model) -> Column:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def score(text: pa.Array) -> pa.Array:
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         learnt("toxicity")
-        return pa.array(sent.value.score(text))
+        yield from tidied(lambda own: (pa.array(sent.value.score(text)) for text in own))(texts)
 
     return score(F.col("text").cast("string"))
 
