@@ -226,16 +226,16 @@ def op1_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op1_uniform_threshold_topk"] = """
 WITH whole AS (
-    SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    SELECT row_number() OVER () AS place, vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ),
 scores AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+    SELECT q.place AS own, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.place <> c.place AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
 ),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
-SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 10
+ranked AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
