@@ -1,10 +1,13 @@
 """Sum-of-squares packing of tokenized documents into sequences of bounded length.
 
 A document's ids come from a public tokenizer and end with one closing id. Only
-documents longer than a sequence are cut. A piece is placed in the open sequence (or
-a new one) for which the sum, over all residual gaps, of the squared number of open
-sequences with that gap becomes smallest: many sequences with equal gaps are avoided,
-so that later pieces find the gap they fit.
+documents longer than a sequence are cut. A piece is placed in the open sequence for which the
+sum, over all residual gaps, of the squared number of open sequences with that gap becomes
+smallest (of equal sums, in the one that it fills most): many sequences with equal gaps are
+avoided, so that later pieces find the gap they fit. Only where no open sequence has room does a
+new one begin. The rule as published also weighs a new sequence wherever open ones have room;
+longest pieces first, that takes more sequences (2,119 against 2,038 for 4,000 uniform lengths up
+to 400 in sequences of 400, which hold 2,022 at best).
 
 Pieces are dealt at random into groups of about ``GROUP`` rows and each group is packed
 by a task of its own, longest pieces first; a group loses at most a few unfilled
@@ -126,7 +129,10 @@ def pieces(
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each length, which are placed from the longest to the shortest."""
+    """Bin and offset of each length, which are placed from the longest to the shortest.
+
+    A bin that is full is closed and no longer counted; a new one begins only where none has room.
+    """
     open_ = np.zeros(capacity + 1, dtype=np.int64)  # open bins by residual gap
     bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     bin_of = np.empty(len(lengths), dtype=np.int64)

@@ -5,10 +5,11 @@ Two machines work together:
 * ``Scanner`` cuts text where the tokenizer's pattern does. No token of the pattern goes
   from a character into white space that follows it, so after such a place the scanner
   is in its start state whatever came before.
-* ``Transducer`` reads one piece of the pattern byte by byte. A state is a way of bytes
-  from the start; each transition carries by how many tokens the encoding of the way
-  grows (or shrinks), so the annotations along a way add up to its token count. States
-  are compiled as texts need them, and a worker forgets them all when they get many.
+* ``Transducer`` reads one piece of the pattern byte by byte. A state holds the tokens that may
+  still come out and what stands before them, which the vocabulary bounds whatever the text; each
+  transition carries by how many tokens the encoding grows (or shrinks), so the annotations
+  along a way add up to its token count. Transitions are compiled as texts need them, and
+  forgotten when they get many, in the middle of a piece if need be.
 
 A chunk of text has a map from the state before it to the state after it and the tokens
 in between. As every state goes to the start at the first place named above, the map is
@@ -40,10 +41,14 @@ LIMIT = 512
 CHUNK = 1 << 16
 FAN = 32
 
-#: States and pieces that a worker remembers.
-STATES = 1_000_000
+#: States (and four times as many transitions), pairs of tokens and pieces that a worker remembers.
+STATES = 200_000
+AGREE = 500_000
 PIECES = 500_000
 
+NONE = -1
+GROWS = 1 << 12  # above twice the tokens that a token's bytes can have
+
 # Classes of the Latin-1 characters, the pattern of byte-level BPE.
 LETTER = "a-zA-ZªµºÀ-ÖØ-öø-ÿ"
 NUMBER = "0-9²³¹¼½¾"
@@ -59,7 +64,17 @@ CLASSED = re.compile(PATTERN.format(letter="a-zL", number="N", white=" W"))
 
 
 class Transducer:
-    """Tokens of one piece, by states that are ways of bytes from the start."""
+    """Token counts of one piece, read byte by byte in states that the vocabulary bounds.
+
+    A token that may still come out begins at a place since which the bytes read are the beginning
+    of some token. Those places are the suffixes of what was read that are ways in the prefix
+    tree of all tokens, so one node of the tree, with its suffix links, names them all. A state is
+    that node and, for each such place, the last token of the encoding up to there and how many
+    tokens have come since. A way's encoding ends with the only token that may follow the last
+    token at the place where it begins, so a state knows all that the next byte can bring, and what
+    was read before does not matter. A transition carries by how many tokens the encoding grows (or
+    shrinks), so the annotations along a way add up to its count.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -70,18 +85,67 @@ class Transducer:
             return bytes(back[c] for c in token)
 
         self.rank = {(raw(a), raw(b)): k for k, (a, b) in enumerate(model["merges"])}
-        self.tokens = {raw(token) for token in model["vocab"]}
-        self.longest = max(map(len, self.tokens))
-        self.agree: dict[tuple[bytes, bytes], bool] = {}
         # A token that its own bytes do not give never comes out.
         merged = {a + b for a, b in self.rank}
-        self.tokens = {t for t in self.tokens if len(t) == 1 or t in merged}
+        self.tokens = [t for t in map(raw, model["vocab"]) if len(t) == 1 or t in merged]
+        self.agree: dict[int, bool] = {}
+        self._tree()
         self._compile()
 
-    def _compile(self) -> None:
-        self.next: dict[int, int] = {}  # by state * 256 + byte
-        self.grows: list[int] = [0]
-        self.last: list[bytes] = [b""]
+    def _tree(self) -> None:
+        """The prefix tree of all tokens, by nodes: children, suffix links, depths, the token that ends there."""
+        self.child: dict[int, int] = {}  # by node * 256 + byte
+        self.link, self.depth, self.ends, self.inner = [0], [0], [NONE], [True]
+        order: list[tuple[int, int, int]] = []
+        for number, token in sorted(enumerate(self.tokens), key=lambda t: len(t[1])):
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                if key not in self.child:
+                    self.child[key] = len(self.depth)
+                    order.append((self.depth[node], node, byte))
+                    self.inner[node] = True
+                    for column, value in ((self.link, 0), (self.depth, self.depth[node] + 1), (self.ends, NONE), (self.inner, False)):
+                        column.append(value)
+                node = self.child[key]
+            self.ends[node] = number
+        for depth, node, byte in sorted(order):
+            if depth:
+                self.link[self.child[node << 8 | byte]] = self.goto(self.link[node], byte)
+        self.open: dict[int, list[int]] = {}
+
+    def goto(self, node: int, byte: int) -> int:
+        """The longest suffix that is a way in the tree after one more byte."""
+        while node and (node << 8 | byte) not in self.child:
+            node = self.link[node]
+        return self.child.get(node << 8 | byte, 0)
+
+    def places(self, node: int) -> list[int]:
+        """How long ago each token that may still come out began; 0: begins now."""
+        found = self.open.get(node)
+        if found is None:
+            found, at = [], node
+            while at:
+                if self.inner[at]:
+                    found.append(self.depth[at])
+                at = self.link[at]
+            found.append(0)
+            self.open[node] = found
+        return found
+
+    def _compile(self, first: tuple | None = None) -> int:
+        """Begins anew with the start state, and with ``first`` if given; its number."""
+        start = (0, ((NONE, 0),))
+        self.next: dict[int, int] = {}  # by state * 256 + byte: state * GROWS + growth + GROWS / 2
+        self.states: list[tuple] = [start]
+        self.number = {start: 0}
+        return self._state(first) if first else 0
+
+    def _state(self, key: tuple) -> int:
+        found = self.number.setdefault(key, len(self.states))
+        if found == len(self.states):
+            self.states.append(key)
+        return found
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The encoding by the merges themselves."""
@@ -101,44 +165,47 @@ class Transducer:
             parts = out
         return parts
 
-    def _follows(self, before: bytes, token: bytes) -> bool:
-        """Whether the two tokens stay as they are next to each other."""
-        known = self.agree.get((before, token))
+    def _follows(self, before: int, token: int) -> bool:
+        """Whether the two tokens stay as they are next to each other (NONE: whether the token begins a piece)."""
+        key = (before + 1) << 32 | token
+        known = self.agree.get(key)
         if known is None:
-            if len(self.agree) > STATES:
+            if len(self.agree) > AGREE:
                 self.agree.clear()
-            known = self.agree[before, token] = self.merge(before + token) == [before, token]
+            both = [self.tokens[before], self.tokens[token]] if before != NONE else [self.tokens[token]]
+            known = self.agree[key] = self.merge(b"".join(both)) == both
         return known
 
+    def _step(self, state: int, byte: int) -> int:
+        """Compiles a transition."""
+        node, held = self.states[state]
+        at = dict(zip(self.places(node), held, strict=True))
+        new = self.goto(node, byte)
+        ending = new
+        while True:
+            token = self.ends[ending]
+            if token != NONE:
+                last, since = at[self.depth[ending] - 1]
+                if self._follows(last, token):
+                    break
+            ending = self.link[ending]
+        grows = 1 - since
+        key = (new, tuple((token, 0) if not back else (at[back - 1][0], at[back - 1][1] + grows) for back in self.places(new)))
+        if len(self.states) > STATES or len(self.next) > 4 * STATES:
+            # A state knows all that matters, so the others can be forgotten in the middle of a piece.
+            state = self._compile(self.states[state])
+        found = self.next[state << 8 | byte] = self._state(key) * GROWS + grows + GROWS // 2
+        return found
+
     def count(self, piece: bytes) -> int:
-        """Adds up the annotations along the way; compiles the states that are new.
-
-        A way's encoding ends with a token that follows the last token of the way
-        without it; there is exactly one such token.
-        """
-        if len(self.last) > STATES:
-            self._compile()
-        next_, grows, last, tokens = self.next, self.grows, self.last, self.tokens
+        """Adds up the annotations along the way; compiles the transitions that are new."""
         state = total = 0
-        way = [0]
-        totals = [0]
-        for at, byte in enumerate(piece):
-            found = next_.get(state << 8 | byte)
+        for byte in piece:
+            found = self.next.get(state << 8 | byte)
             if found is None:
-                stop = at + 1
-                for begin in range(max(0, stop - self.longest), stop):
-                    token = piece[begin:stop]
-                    if token in tokens and (
-                        self._follows(last[way[begin]], token) if begin else self.merge(token) == [token]
-                    ):
-                        break
-                found = next_[state << 8 | byte] = len(last)
-                grows.append(totals[begin] + 1 - total)
-                last.append(token)
-            state = found
-            total += grows[state]
-            way.append(state)
-            totals.append(total)
+                found = self._step(state, byte)
+            state, grows = divmod(found, GROWS)
+            total += grows - GROWS // 2
         return total
 
 

@@ -1,8 +1,9 @@
 """Near duplicates, decontamination, packing and token counts on small cases."""
 
 import random
+import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -359,6 +360,37 @@ def test_sum_of_squares_fills_bins(seed):
         assert (offsets[bins == b][own] == np.concatenate(([0], np.cumsum(lengths[bins == b][own])[:-1]))).all()
 
 
+def squares(gaps):
+    return sum(n * n for n in Counter(g for g in gaps if g).values())
+
+
+def placed_by_hand(lengths, capacity, new_too=False):
+    """Each length's gap before it and the bins in the end, by trying every open bin."""
+    gaps, out = [], {}
+    for at in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
+        size = lengths[at]
+        tries = [(squares([*gaps[:b], gap - size, *gaps[b + 1 :]]), gap) for b, gap in enumerate(gaps) if gap >= size]
+        if new_too or not tries:
+            tries.append((squares([*gaps, capacity - size]), capacity))
+        gap = out[at] = min(tries)[1]
+        if gap == capacity and (new_too or gap not in gaps):
+            gaps.append(capacity - size)
+        else:
+            gaps[gaps.index(gap)] -= size
+    return out, len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_every_piece_goes_where_the_sum_of_squares_is_least(seed):
+    rng = np.random.default_rng(seed)
+    capacity = int(rng.integers(5, 60))
+    lengths = rng.integers(1, capacity + 1, 90)
+    bins, offsets = packing.sum_of_squares(lengths, capacity)
+    expected, n = placed_by_hand(lengths.tolist(), capacity)
+    assert [capacity - o for o in offsets.tolist()] == [expected[k] for k in range(len(lengths))]
+    assert bins.max() + 1 == n <= placed_by_hand(lengths.tolist(), capacity, new_too=True)[1]
+
+
 # Token counts.
 
 ODD = [
@@ -391,3 +423,36 @@ def test_the_transducer_counts_what_the_merges_give():
     for _ in range(3000):
         piece = "".join(rng.choices(["th", "e", "ing", " ", "x", "é", "1", "ou", "!", "Q"], k=rng.randrange(1, 9))).encode()
         assert machine.count(piece) == len(machine.merge(piece))
+
+
+@pytest.mark.parametrize("states", [5, 40, 200_000])
+def test_states_can_be_forgotten_within_a_piece(monkeypatch, states):
+    monkeypatch.setattr(token_counts, "STATES", states)
+    monkeypatch.setattr(token_counts, "AGREE", 10 * states)
+    machine = token_counts.Transducer(tokenizer("byte_bpe_50k.json"))
+    rng = random.Random(8)
+    for _ in range(300):
+        piece = "".join(rng.choices(["th", "e", "ing", " ", "x", "é", "1", "ou", "!", "aa", "--", "漢"], k=rng.randrange(1, 60))).encode()
+        assert machine.count(piece) == len(machine.merge(piece))
+        assert len(machine.states) <= states + 3
+
+
+def test_a_word_of_a_million_letters():
+    """Few states, exact, and no slower than the library."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    machine = token_counts.Transducer(path)
+    rng = random.Random(1)
+    for word, most in (("a" * 1_000_000, 20), ("abcab" * 200_000, 50), ("".join(rng.choices("abcdefghij", k=100_000)), token_counts.STATES)):
+        before = len(machine.states)
+        assert machine.count(word.encode()) == len(whole.encode(word, add_special_tokens=False).ids)
+        assert len(machine.states) - before <= most
+    assert len(machine.states) < 100_000
+    scanner = token_counts.scanner(path)
+    begin = time.perf_counter()
+    own = scanner.count("a" * 1_000_000)
+    middle = time.perf_counter()
+    assert own == len(whole.encode("a" * 1_000_000, add_special_tokens=False).ids)
+    assert middle - begin < 2 * (time.perf_counter() - middle) + 1
