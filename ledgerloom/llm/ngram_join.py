@@ -13,6 +13,8 @@ The work runs in these steps, all of them on Spark:
    sets are one class from here on, so a group of copies is one set however large.
 2. ``shared_ngrams``: each n-gram goes once per class and batch to the owner of its
    hash range, packed as sorted differences; owners keep n-grams of two classes or more.
+   What ``COMMON`` classes of one batch hold is shared for certain and does not go to one owner:
+   the owner only learns that it is common, and its entries are dealt out by class.
 3. ``alive_sets``: a class with more than a quarter of n-grams of its own (for 0.75)
    is like no other. What is left is a small part of a corpus without copies.
 4. Components of classes that share one of their first n-grams.
@@ -39,6 +41,9 @@ PERCENT = 75
 
 #: N-grams that are packed at once, sets and n-grams in a block.
 PACKED = 1_000_000
+#: Classes of a batch that make an n-gram common, and how many classes hold it in the global order then.
+COMMON = 64
+MANY = 1 << 40
 BLOCK_SETS = 1024
 BLOCK_NGRAMS = 1_500_000
 
@@ -94,13 +99,28 @@ def _packed(items, owner, classes, sizes, ranges):
     step = (1 << 64) // ranges
     cuts = np.searchsorted(items, (np.arange(1, ranges, dtype=object) * step).astype(np.uint64))
     bounds = [0, *cuts.tolist(), len(items)]
-    out = {"part": [], "ngrams": [], "owner": [], "classes": [], "sizes": []}
-    for part, (begin, stop) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+    return _rows(items, owner, classes, sizes, enumerate(zip(bounds[:-1], bounds[1:], strict=True)), False)
+
+
+def _dealt(items, owner, classes, sizes, ranges):
+    """The same for common n-grams, dealt out by class; and one row without classes for each range that owns some."""
+    part = (classes[owner] % np.uint64(ranges)).astype(np.int64)
+    order = np.lexsort((items, part))
+    bounds = np.searchsorted(part[order], np.arange(ranges + 1))
+    yield _rows(items[order], owner[order], classes, sizes, enumerate(zip(bounds[:-1], bounds[1:], strict=True)), True)
+    each = np.unique(items)
+    yield _packed(each, np.zeros(len(each), np.int64), np.zeros(1, np.uint64), np.zeros(1, np.int64), ranges)
+
+
+def _rows(items, owner, classes, sizes, spans, common):
+    out = {"part": [], "common": [], "ngrams": [], "owner": [], "classes": [], "sizes": []}
+    for part, (begin, stop) in spans:
         if begin == stop:
             continue
         held, local = np.unique(owner[begin:stop], return_inverse=True)
         gaps = np.diff(items[begin:stop], prepend=np.uint64(0))
         out["part"].append(part)
+        out["common"].append(common)
         out["ngrams"].append(gaps.view(np.uint8).reshape(-1, 8).T.tobytes())
         out["owner"].append(local.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
         out["classes"].append(classes[held].tobytes())
@@ -109,7 +129,7 @@ def _packed(items, owner, classes, sizes, ranges):
 
 
 PACKED_SCHEMA = pa.schema(
-    [("part", pa.int32()), *((name, pa.binary()) for name in ("ngrams", "owner", "classes", "sizes"))]
+    [("part", pa.int32()), ("common", pa.bool_()), *((name, pa.binary()) for name in ("ngrams", "owner", "classes", "sizes"))]
 )
 
 
@@ -140,25 +160,46 @@ def shared_ngrams(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             keep &= sizes > 0
             owner = np.repeat(np.arange(len(classes)), sizes)
             chosen = keep[owner]
-            return _packed(items[chosen], owner[chosen], classes, sizes, ranges)
+            items, owner = items[chosen], owner[chosen]
+            _, at, n = np.unique(items, return_inverse=True, return_counts=True)
+            common = n[at] >= COMMON
+            yield _packed(items[~common], owner[~common], classes, sizes, ranges)
+            if common.any():
+                yield from _dealt(items[common], owner[common], classes, sizes, ranges)
 
         for _, items, bounds, classes in _sets(batches, width):
             held.append((items, classes, np.diff(bounds)))
             count += len(items)
             if count >= PACKED:
-                yield flush()
+                yield from flush()
                 held, count = [], 0
         if count:
-            yield flush()
+            yield from flush()
+
+    def rows(classes, sizes, ngrams, df):
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(classes.view(np.int64)),
+                pa.array(sizes.astype(np.int32)),
+                pa.array(ngrams.view(np.int64)),
+                pa.array(df.astype(np.int64)),
+            ],
+            names=["class", "size", "ngram", "df"],
+        )
 
     def merge(batches):
         ngrams, classes, sizes = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 local = _planes(row["owner"], 4)
-                ngrams.append(np.cumsum(_planes(row["ngrams"], 8), dtype=np.uint64))
-                classes.append(np.frombuffer(row["classes"], np.uint64)[local])
-                sizes.append(np.frombuffer(row["sizes"], np.uint32)[local])
+                own = np.cumsum(_planes(row["ngrams"], 8), dtype=np.uint64)
+                of, size = np.frombuffer(row["classes"], np.uint64)[local], np.frombuffer(row["sizes"], np.uint32)[local]
+                if row["common"]:
+                    yield rows(of, size, own, np.full(len(own), MANY))
+                    continue
+                ngrams.append(own)
+                classes.append(of)
+                sizes.append(size)
         if not ngrams:
             return
         ngrams, classes, sizes = map(np.concatenate, (ngrams, classes, sizes))
@@ -173,24 +214,17 @@ def shared_ngrams(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         fresh = np.ones(len(ngrams), dtype=bool)
         fresh[1:] = (ngrams[1:] != ngrams[:-1]) | (classes[1:] != classes[:-1])
         ngrams, classes, sizes = ngrams[fresh], classes[fresh], sizes[fresh]
-        _, group, df = np.unique(ngrams, return_inverse=True, return_counts=True)
-        df = df[group]
-        shared = df > 1
+        _, first, group, df = np.unique(ngrams, return_index=True, return_inverse=True, return_counts=True)
+        # Class 0, of no words, stands first where the n-gram is common somewhere.
+        df = np.where(classes[first] == 0, MANY, df)[group]
+        shared = (df > 1) & (classes != 0)
         for begin in range(0, int(shared.sum()), 100_000):
             part = np.flatnonzero(shared)[begin : begin + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(classes[part].view(np.int64)),
-                    pa.array(sizes[part].astype(np.int32)),
-                    pa.array(ngrams[part].view(np.int64)),
-                    pa.array(df[part].astype(np.int64)),
-                ],
-                names=["class", "size", "ngram", "df"],
-            )
+            yield rows(classes[part], sizes[part], ngrams[part], df[part])
 
     return (
         docs.select(F.col("text").cast("string"))
-        .mapInArrow(tidied(pack), "part int, ngrams binary, owner binary, classes binary, sizes binary")
+        .mapInArrow(tidied(pack), "part int, common boolean, ngrams binary, owner binary, classes binary, sizes binary")
         .repartitionById(ranges, F.col("part"))
         .mapInArrow(tidied(merge), "class long, size int, ngram long, df long")
     )
@@ -213,6 +247,10 @@ def alive_sets(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
         rows = pa.concat_tables(tables)
         classes, sizes, ngrams, df = (rows.column(k).to_numpy() for k in range(4))
         order = np.lexsort((ngrams, df, classes))
+        # What is common in one batch only comes from its owner as well.
+        fresh = np.ones(len(order), dtype=bool)
+        fresh[1:] = (classes[order][1:] != classes[order][:-1]) | (ngrams[order][1:] != ngrams[order][:-1])
+        order = order[fresh]
         classes, sizes, ngrams = classes[order], sizes[order].astype(np.int64), ngrams[order]
         starts = np.flatnonzero(np.concatenate(([True], classes[1:] != classes[:-1])))
         counts = np.diff(np.append(starts, len(classes)))

@@ -107,11 +107,29 @@ def corpus(seed):
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", blocks)
     monkeypatch.setattr(ngram_join, "PACKED", 2000)
+    monkeypatch.setattr(ngram_join, "COMMON", 4 if blocks == 16 else 64)
     rows = [*corpus(blocks), (1, "w1 w2 w3 w4 w5 w6"), (None, "w1 w2 w3 w4 w5 w6"), (None, "alone with no id at all")]
     found = ngram_join.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id")
     assert sorted(map(tuple, found.collect()), key=str) == sorted(components_by_hand(rows), key=str)
 
 
+def test_common_ngrams_are_not_sent_to_one_owner(spark, monkeypatch):
+    """One line in all texts: its owner's range holds as much as any other's, and the sets are whole."""
+    monkeypatch.setattr(ngram_join, "PACKED", 3000)
+    monkeypatch.setattr(ngram_join, "COMMON", 8)
+    line = "this line stands in every single one of the texts"
+    rng = random.Random(0)
+    rows = [(k, line + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(6))) for k in range(2000)]
+    found = ngram_join.shared_ngrams(frame(spark, rows)).toPandas()
+    common = found[found["df"] >= ngram_join.MANY]
+    own = sets_by_hand(rows)
+    shared = {g for g, n in Counter(g for s in own for g in s).items() if n > 100}
+    assert len(common.drop_duplicates(["class", "ngram"])) == sum(len(s & shared) for s in own)
+    assert common["ngram"].nunique() == len(shared) == 6
+    held = ngram_join.shared_ngrams(frame(spark, rows)).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert held.max() < 3 * held.median()
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(frame(spark, [])).count() == 0
     assert [tuple(r)[1:2] for r in ngram_join.near_duplicates(frame(spark, [(1, None)])).collect()] == [(0,)]
