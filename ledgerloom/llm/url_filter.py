@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import broadcast_if_few
+from ledgerloom.llm.shared import Scratch, broadcast_if_light
 
 #: Blocks of the filter; 16 bits a key are plenty, so this serves some millions of rules in 8 MB.
 BLOCKS = 1 << 20
@@ -95,7 +95,7 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFram
     longer host) gives ``rule`` and ``verdict``. A URL that no rule fits is not listed: no
     rule and ``default``. A null URL, or one without ``://``, has empty host and path. Rows
     with equal or null page_id are judged each for itself; other columns are not read. No
-    rules give the default for all.
+    rules give the default for all, no pages no rows; URLs of any length are judged whole.
 
     ``rules`` has host, path and verdict (``allow`` or ``block``).
     """
@@ -135,13 +135,18 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFram
         .withColumn("h", F.xxhash64("rule_host", "rule_path"))
     )
     hits = keys.where(possible(_block(F.col("h")), _word(F.col("h")))).drop("h")
-    listed = broadcast_if_few(rules.withColumnsRenamed({"host": "rule_host", "path": "rule_path"}))
+    listed = broadcast_if_light(
+        rules.withColumnsRenamed({"host": "rule_host", "path": "rule_path"}), 40 + F.length("rule_host") + F.length("rule_path")
+    )
     size = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"))
     best = (
         hits.join(listed, ["rule_host", "rule_path"])
         .groupBy("host", "path")
         .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), size).alias("best"))
     )
+    # Stored before the join, so a host and path of many pages is split like any other.
+    best = Scratch(spark, "url-filter").store(best)
+    best = broadcast_if_light(best, 40 + 3 * (F.length("host") + F.length("path")))
     return found.join(best, ["host", "path"], "left").select(
         "page_id",
         "host",

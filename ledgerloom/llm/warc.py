@@ -121,18 +121,20 @@ def write_archive(pages: DataFrame, folder: str | None = None, *, least: int = L
 
     Rows with equal page_id are records of their own with the same record id; if they have
     equal payloads with the largest page_id, all of them are responses. A null page_id is
-    smaller than any other, a null url has no target in its header. Other columns are not read.
+    smaller than any other, a null url has no target in its header. Payloads of any length are
+    stored whole; no pages give an empty archive. Other columns are not read.
     """
     spark = pages.sparkSession
     folder = folder or fresh_folder(spark, "warc")
     digested = _digested(pages)
     light = digested.select("page_id", "url", "digest", "sha1", "payload_bytes")
-    keepers = light.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
-    records = light.join(keepers, "digest").withColumn(
-        "record_type",
-        F.when((F.col("payload_bytes") < least) | F.col("page_id").eqNullSafe(F.col("keeper")), "response").otherwise(
-            "revisit"
-        ),
+    # Most payloads occur once; only the others have a keeper to look up. Counted first and stored,
+    # so a payload of many records is split like any other.
+    keepers = light.groupBy(F.col("digest").alias("key")).agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
+    several = broadcast_if_few(store(keepers.where("n > 1").select("key", "keeper"), fresh_folder(spark, "warc-several")))
+    response = (F.col("payload_bytes") < least) | F.col("key").isNull() | F.col("page_id").eqNullSafe(F.col("keeper"))
+    records = light.join(several, F.col("digest") == F.col("key"), "left").withColumn(
+        "record_type", F.when(response, "response").otherwise("revisit")
     )
     records = records.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("keeper")))
     records.select("digest", _header(date).alias("header")).write.mode("overwrite").option("compression", "zstd").parquet(
@@ -140,9 +142,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, *, least: int = L
     )
     # Of digests that occur more often, the keeper's row brings the payload (its first, if rows repeat).
     rows = digested.select("page_id", "digest", "payload")
-    several = keepers.where("n > 1").select(F.col("digest").alias("key"), "keeper")
-    several = store(several, fresh_folder(spark, "warc-several"))
-    found = rows.join(broadcast_if_few(several), F.col("digest") == F.col("key"), "left")
+    found = rows.join(several, F.col("digest") == F.col("key"), "left")
     alone = found.where("key IS NULL").select("digest", "payload")
     if several.limit(1).count():
         kept = found.where(F.col("key").isNotNull() & F.col("page_id").eqNullSafe(F.col("keeper")))
