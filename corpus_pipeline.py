@@ -118,7 +118,7 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-#: Trained models and packing are beyond SQL; the tests hold a brute-force version against the stages.
+#: Trained models and packing are beyond SQL; the tests hold labels, and brute-force versions of single operators, against the stages.
 ORACLE_SQL = None
 
 
