@@ -451,7 +451,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     ``component_id`` is the smallest doc_id that links reach, itself included.
     Texts that are null or hold no word have no set and link with nothing, not even
     each other. Rows with equal doc_id are documents of their own with that id; a null
-    doc_id links as any other and names no component. Other columns are not read.
+    doc_id links as any other and names no component. Texts of any length are read whole, in
+    slices. No rows give no rows; other columns are not read.
     """
     kept = Scratch(docs.sparkSession, "ngram-join")
     signed, found = _signed_and_found(docs, width, percent, kept)

@@ -210,7 +210,9 @@ def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, expected_grade, p_readable, p_good, keep`` for every row of ``docs``.
 
     Null and empty texts have position 0 on the scale, like a text of which nothing is known.
-    Repeated rows are rated each for itself, null ids as any other; only ``text`` is looked at.
+    Texts of any length are read whole, in slices. Repeated rows are rated each for itself, null ids
+    as any other; only ``text`` is looked at. No ``docs`` give no rows, and without ``labels`` all
+    weights are 0.
     ``keep``: at least grade 1 with a probability of one half or more.
     """
     model = train(docs, labels)

@@ -169,6 +169,33 @@ def test_quality_of_odd_rows(spark, docs, labels):
     assert quality.rated(odd(spark).limit(0), labels).count() == 0
 
 
+def test_ratings_are_those_of_the_weights(docs, labels):
+    """Every text's tails and expected grade, worked out word by word in plain Python."""
+    model = quality.train(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id < 60").collect()}
+    low, high = model.thresholds
+    assert low < high
+    for row in quality.rated(docs, labels).where("doc_id < 60").collect():
+        cells, _ = quality.features(pa.array([texts[row["doc_id"]]]))
+        sums = [sum(model.weights[c] for c in word) for word in cells.T.tolist()]
+        z = sum(sums) / max(len(sums), 1)
+        readable, good = (1 / (1 + np.exp(t - z)) for t in (low, high))
+        assert np.allclose([row["p_readable"], row["p_good"], row["expected_grade"]], [readable, good, readable + good], atol=1e-6)
+        assert row["keep"] == (row["p_readable"] >= 0.5)
+
+
+def test_the_fit_beats_constant_grades(docs, labels):
+    """The likelihood of held-out grades under the fit is above that of the best constant probabilities."""
+    model = quality.train(docs, labels)
+    rows = docs.join(labels, "doc_id").where(labelled.fold() == 0).select(quality.grades(labels).alias("grade"), "text").collect()
+    rows = [r for r in rows if r["grade"] is not None]
+    z = model.position(pa.array([r["text"] for r in rows]))
+    grade = np.array([r["grade"] for r in rows])
+    share = np.bincount(grade, minlength=3) / len(grade)
+    constant = float(np.log(share[grade]).sum())
+    assert quality._gradient(z, grade, model.thresholds)[2] > constant
+
+
 def test_the_gradient_is_that_of_the_likelihood():
     rng = np.random.default_rng(0)
     z, grade, thresholds = rng.normal(size=9), rng.integers(0, 3, 9), np.array([-0.4, 0.7])
