@@ -19,7 +19,9 @@ The work runs in these steps, all of them on Spark:
    is like no other. What is left is a small part of a corpus without copies.
 4. Components of classes that share one of their first n-grams.
 5. ``trie_links`` in blocks of bounded size; links that suffice to connect all that
-   is similar; components of those.
+   is similar; components of those. In a group of several blocks the first one meets all
+   others. Sets that this does not connect to the most of their group are dealt again, by prefix
+   n-gram and band of lengths, or to every block of the group where that makes fewer copies.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components, smallest_ids
 from ledgerloom.llm.hashed_words import set_hashes, shingle_sets, sliced, word_hashes
-from ledgerloom.llm.shared import Scratch, broadcast_if_few, partitions, scratch, tidied
+from ledgerloom.llm.shared import Scratch, broadcast_if_few, joined_by_key, partitions, scratch, tidied
 
 WIDTH = 5
 PERCENT = 75
@@ -375,9 +377,9 @@ def similar_links(alive: DataFrame, work: Scratch, percent: int = PERCENT) -> Da
     """Links that connect every two similar sets, if not directly, then through others."""
     prefix = alive.select("class", F.explode(F.slice("ngrams", F.lit(1), F.col("first"))).alias("ngram"))
     leader = prefix.groupBy("ngram").agg(F.min("class").alias("leader"), F.count("*").alias("held"))
-    near = prefix.join(leader.where("held > 1"), "ngram").where("class != leader")
+    near = joined_by_key(prefix, work.store(leader.where("held > 1")), ["ngram"], "held").where("class != leader")
     meeting = connected_components(near.select("class", "leader").distinct(), work)
-    members = work.store(alive.join(meeting, alive["class"] == meeting["node"]).drop("node", "first"))
+    members = work.store(alive.join(meeting, alive["class"] == meeting["node"]).drop("node"))
 
     groups = members.groupBy("component").agg(
         F.count("*").alias("sets"), F.sum(F.size("ngrams")).alias("held")
@@ -401,7 +403,7 @@ def similar_links(alive: DataFrame, work: Scratch, percent: int = PERCENT) -> Da
         F.concat(F.lit("small "), F.pmod(F.xxhash64("component"), F.lit(int(bins // 1_000_000) + 1))).alias("block"),
         "class", "size", "ngrams",
     )
-    large = placed.where(several).select("component", "blocks", own.alias("own"), "class", "size", "ngrams")
+    large = placed.where(several).select("component", "blocks", own.alias("own"), "class", "size", "first", "ngrams")
     pivot = F.when(F.col("own") == 0, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("own"))
     pairs = large.select("component", F.explode(pivot).alias("with"), "class", "size", "ngrams").select(
         F.concat_ws(" ", "component", "with").alias("block"), "class", "size", "ngrams"
@@ -410,33 +412,136 @@ def similar_links(alive: DataFrame, work: Scratch, percent: int = PERCENT) -> Da
 
     if not groups.where("blocks > 1").limit(1).count():
         return links
-    # What is not connected to the most of its group meets all of the group's other blocks.
-    found = connected_components(links, work)
-    large = work.store(_with_part(large, found))
+    # What block 0 did not connect to the most of its group meets what it may still be similar to.
+    left = work.store(_unsettled(large, links, work))
+    minor = work.store(left.where("minor").groupBy("component").agg(F.count("*").alias("few")))
+    if not minor.limit(1).count():
+        return links
+    left = left.join(broadcast_if_few(minor.select("component")), "component")
+    keys = work.store(_meeting_keys(left, percent))
+    ways = work.store(_dear_ways(left, minor, keys))
+    by_block = left.join(broadcast_if_few(ways.where("not by_ngram").drop("by_ngram")), "component")
+    by_ngram = broadcast_if_few(ways.where("by_ngram").select("component"))
+    again = _by_block(by_block).unionByName(
+        _by_ngram(left.join(by_ngram, "component"), keys.join(by_ngram, "component"), work, percent)
+    )
+    return work.store(links.union(block_links(again, percent)))
+
+
+def _unsettled(large: DataFrame, links: DataFrame, work: Scratch) -> DataFrame:
+    """Sets outside of block 0, whose own have met all of their group; ``minor`` are not connected to the most of it."""
+    large = work.store(_with_part(large, connected_components(links, work)))
     most = (
         large.groupBy("component", "part")
         .count()
         .groupBy("component")
         .agg(F.max_by("part", F.struct("count", "part")).alias("most"))
     )
-    rest = large.join(broadcast_if_few(work.store(most)), "component").where("part != most and own > 0")
-    rest = work.store(rest.drop("most"))
-    few = rest.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("chunks"))
-    rest = rest.join(few, "component").withColumn(
-        "chunk", F.pmod(F.xxhash64("class", F.lit(1)), F.col("chunks"))
+    return (
+        large.where("own > 0")
+        .join(broadcast_if_few(work.store(most)), "component")
+        .withColumn("minor", F.col("part") != F.col("most"))
+        .drop("most")
     )
-    everywhere = rest.select(
-        "component", "chunk", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("with"),
-        "class", "size", "ngrams",
+
+
+def _by_block(left: DataFrame) -> DataFrame:
+    """``block, class, size, ngrams``: minor sets, in chunks, beside every block of their group."""
+    everywhere = left.where("minor").select(
+        F.pmod(F.xxhash64("class", F.lit(1)), F.col("chunks")).alias("chunk"),
+        F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("with"),
+        "component", "class", "size", "ngrams",
     )
-    against = large.where("own > 0").join(few, "component").select(
-        "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
-        F.col("own").alias("with"), "class", "size", "ngrams",
+    against = left.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+        F.col("own").alias("with"), "component", "class", "size", "ngrams",
     )
-    again = everywhere.unionByName(against).select(
+    return everywhere.unionByName(against).select(
         F.concat_ws(" ", "component", "with", "chunk").alias("block"), "class", "size", "ngrams"
     )
-    return work.store(links.union(block_links(again, percent)))
+
+
+#: What a meeting place of sets goes by: sets that may be similar share a prefix n-gram and a band of lengths.
+PLACE = ["component", "ngram", "band"]
+
+
+def _places(left: DataFrame, percent: int) -> DataFrame:
+    """A row for each place of a set: its prefix n-grams, each in its band of lengths and the next longer one.
+
+    A band is a little wider than similar lengths may differ, so similar sets are in one or in
+    two that follow each other.
+    """
+    band = F.floor(F.log("size") / F.log(F.lit(100 / percent * 1.001)))
+    narrow = left.select("component", "class", "part", "minor", F.size("ngrams").alias("length"), band.alias("low"),
+                         F.explode(F.slice("ngrams", F.lit(1), F.col("first"))).alias("ngram"))
+    return narrow.withColumn("band", F.explode(F.array("low", F.col("low") + 1))).drop("low")
+
+
+def _meeting_keys(left: DataFrame, percent: int) -> DataFrame:
+    """Places with a minor set and one of another part: how many they hold, in how many chunks and blocks."""
+    found = _places(left, percent).groupBy(*PLACE).agg(
+        F.count("*").alias("sets"),
+        F.count_if("minor").alias("few"),
+        F.sum("length").alias("held"),
+        F.min("part").alias("one"),
+        F.max("part").alias("other"),
+    )
+
+    def cut(n):
+        # N-grams of a part of the sets go by their mean.
+        return F.ceil(F.greatest(n / BLOCK_SETS, n * F.col("held") / F.col("sets") / BLOCK_NGRAMS)).cast("long")
+
+    return found.where("few > 0 and one != other").select(
+        *PLACE,
+        "sets",
+        "few",
+        cut(F.col("few")).alias("chunks"),
+        cut(F.col("sets")).alias("parts"),
+        F.greatest(F.col("sets") / BLOCK_SETS * 1e6, F.col("held") / BLOCK_NGRAMS * 1e6).cast("long").alias("load"),
+    )
+
+
+def _dear_ways(left: DataFrame, minor: DataFrame, keys: DataFrame) -> DataFrame:
+    """``component, chunks, by_ngram``: whether a group's sets go to fewer places by n-gram and length than by block."""
+    sets = left.groupBy("component").agg(F.count("*").alias("sets"), F.first("blocks").alias("blocks"))
+    chunks = F.ceil(F.col("few") / BLOCK_SETS)
+    by_block = F.col("few") * (F.col("blocks") - 1) + F.col("sets") * chunks
+    placed = F.when(F.col("parts") == 1, F.col("sets")).otherwise(
+        F.col("few") * F.col("parts") + F.col("sets") * F.col("chunks")
+    )
+    by_ngram = keys.groupBy("component").agg(F.sum(placed).alias("placed"))
+    # Without any place no set of the group can be similar to one it is not connected to.
+    return sets.join(minor, "component").join(by_ngram, "component").select(
+        "component", chunks.alias("chunks"), (F.col("placed") < by_block).alias("by_ngram")
+    )
+
+
+def _by_ngram(left: DataFrame, keys: DataFrame, work: Scratch, percent: int) -> DataFrame:
+    """``block, class, size, ngrams``: the sets of each place.
+
+    Places of one block are put together; of larger ones, minor sets in chunks meet all sets in parts.
+    A set goes to no more blocks than it has prefix n-grams, times the chunks of a place too large for one block.
+    """
+    bins = F.lit(int((keys.where("parts = 1").agg(F.sum("load")).first()[0] or 0) // 1_000_000) + 1)
+    keys = work.store(keys)
+    placed = work.store(
+        joined_by_key(_places(left, percent).select(*PLACE, "class", "minor"), keys, PLACE, "sets").drop("sets", "few", "load")
+    )
+    small = placed.where("parts = 1").select(
+        F.concat(F.lit("places "), F.pmod(F.xxhash64(*PLACE), bins)).alias("block"), "class"
+    )
+    large = placed.where("parts > 1")
+    chunk = F.pmod(F.xxhash64("class", F.lit(1)), F.col("chunks"))
+    part = F.pmod(F.xxhash64("class", F.lit(2)), F.col("parts"))
+    to_all = large.where("minor").select(
+        *PLACE, "class", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("with")
+    )
+    of_all = large.select(
+        *PLACE, "class", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), part.alias("with")
+    )
+    met = to_all.unionByName(of_all).select(F.concat_ws(" ", *PLACE, "chunk", "with").alias("block"), "class")
+    blocks = work.store(small.union(met).distinct())
+    return blocks.join(left.select("class", "size", "ngrams"), "class").select("block", "class", "size", "ngrams")
 
 
 def _with_part(large: DataFrame, found: DataFrame) -> DataFrame:

@@ -68,6 +68,24 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def joined_by_key(rows: DataFrame, keys: DataFrame, on: list[str], held: str, limit: int | None = None) -> DataFrame:
+    """``rows`` joined with ``keys`` (a stored table, one row a key; ``held``: how many of ``rows`` have it).
+
+    Few keys are sent whole. Of more, those with over an average partition of rows, which are no more
+    than there are partitions, are sent, so their rows stay where they are; the others are merged.
+    Every task's share is bounded, however many rows one key has.
+    """
+    limit = BROADCAST_ROWS if limit is None else limit
+    if keys.limit(limit + 1).count() <= limit:
+        return rows.join(F.broadcast(keys), on)
+    ranges = partitions(keys.sparkSession)
+    share = (keys.agg(F.sum(held)).first()[0] or 0) // ranges
+    heavy = F.broadcast(keys.where(F.col(held) > share))
+    light = keys.where(F.col(held) <= share).hint("merge")
+    merged = rows.join(F.broadcast(keys.where(F.col(held) > share).select(*on)), on, "left_anti").join(light, on)
+    return rows.join(heavy, on).unionByName(merged)
+
+
 def give_back() -> None:
     """What a Python worker has freed goes back to the system: workers live on after their tasks."""
     pa.default_memory_pool().release_unused()
