@@ -102,26 +102,53 @@ def broadcast_if_small(members: DataFrame, *, broadcast_bytes: int = BROADCAST_B
     return F.broadcast(members) if size <= broadcast_bytes else members.hint("merge")
 
 
-def _hot_keys(
-    rows: DataFrame, keys: Sequence[str], names: Sequence[str], copies: str, parts: int
-) -> DataFrame:
-    """Keys with more than a ``1/parts`` share of the rows, and over how many salts to spread each.
-
-    Such keys number about ``parts`` at most, and the salts of all together
-    ``(1 + _FINER) * parts``, whatever the data. Every row is counted; counts are
-    added up on each task first, so what is shuffled is a row per key and task.
+def _all_hot_keys(
+    rows: DataFrame,
+    keys: Sequence[Sequence[str]],
+    names: Sequence[Sequence[str]],
+    copies: str,
+    parts: int,
+) -> list[DataFrame]:
+    """For each of the keys: what has more than a ``1/parts`` share of the rows, and its salts.
+
+    Such values number about ``parts`` a key at most, and the salts of all together
+    ``(1 + _FINER) * parts``, whatever the data. Every row is counted, for all keys in one
+    pass; counts are added up on each task first, so what is shuffled is a row per value and task.
     """
-    columns = rows.select(*(F.col(key).alias(name) for key, name in zip(keys, names)))
+    sets = list(dict.fromkeys(tuple(sorted(key)) for key in keys))
+    columns = sorted(set().union(*sets))
+    # Neither a helper's name nor one of the counted columns may stand for two things.
+    plain = {column: f"__key_{n}" for n, column in enumerate(columns)}
+    # What grouping_id() gives for a set: a bit for every column that is not in it.
+    numbers = {s: int("".join("01"[c not in s] for c in columns), 2) for s in sets}
+    # Of a stored table, read from the ends of its files.
     shares = F.col("__n") / F.lit(max(rows.count(), 1)) * parts
-    hot = (
-        columns.where(reduce(and_, (F.col(name).isNotNull() for name in names)))
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(shares > 1)
-        .select(*names, F.ceil(shares * _FINER).cast("int").alias(copies))
+    found = {
+        s: (F.col("__set") == number) & reduce(and_, (F.col(plain[c]).isNotNull() for c in s))
+        for s, number in numbers.items()
+    }
+    counts = (
+        rows.select(*(F.col(column).alias(name) for column, name in plain.items()))
+        .groupingSets([[plain[c] for c in s] for s in sets], *plain.values())
+        .agg(F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__n"))
+        .where((shares > 1) & reduce(or_, found.values()))
+        .select("__set", *plain.values(), F.ceil(shares * _FINER).cast("int").alias(copies))
     )
-    # Stored, because both sides of the join use it and must use the same keys.
-    return store(hot, fresh_folder(rows.sparkSession, "hot", passing=True))
+    # Stored, because both sides of a join use it and must use the same values.
+    hot = store(counts, fresh_folder(rows.sparkSession, "hot", passing=True))
+    return [
+        hot.where(F.col("__set") == numbers[tuple(sorted(key))]).select(
+            *(F.col(plain[c]).alias(name) for c, name in zip(key, named)), copies
+        )
+        for key, named in zip(keys, names)
+    ]
+
+
+def _hot_keys(
+    rows: DataFrame, keys: Sequence[str], names: Sequence[str], copies: str, parts: int
+) -> DataFrame:
+    """The same for one key."""
+    return _all_hot_keys(rows, [keys], [names], copies, parts)[0]
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -129,12 +156,10 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def _spread_join(
-    rows: DataFrame, base: DataFrame, lookup: Lookup, position: int, how: str
+    rows: DataFrame, hot: DataFrame, lookup: Lookup, position: int, parts: int, how: str
 ) -> DataFrame:
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probe, slim = lookup.probe(position), lookup.slim(position)
-    names, copies = [f"__hot_{n}" for n in range(len(probe))], "__copies"
-    hot = _hot_keys(base, lookup.keys, names, copies, parts)
+    *names, copies = hot.columns
 
     # The salt comes from the row's place in its file: the same after a lost
     # task runs again, and different for rows that are equal in all columns.
@@ -163,15 +188,20 @@ def _join_all(
 ) -> DataFrame:
     sizes = payload_bytes([lookup.slim(n) for n, lookup in enumerate(lookups)])
     result = rows.withColumn(_ROW, F.monotonically_increasing_id())
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = [n for n, size in enumerate(sizes) if size > broadcast_bytes]
+    names = [[f"__hot_{n}" for n in range(len(lookups[n].keys))] for n in large]
+    keys = [lookups[n].keys for n in large]
+    hot = dict(zip(large, _all_hot_keys(rows, keys, names, "__copies", parts))) if large else {}
     # Shuffled lookups come first, while the rows are narrow; what the broadcast
     # ones add is then never shuffled.
-    for n in sorted(range(len(lookups)), key=lambda n: sizes[n] <= broadcast_bytes):
+    for n in sorted(range(len(lookups)), key=lambda n: n not in hot):
         lookup = lookups[n]
-        if sizes[n] <= broadcast_bytes:
+        if n in hot:
+            result = _spread_join(result, hot[n], lookup, n, parts, how)
+        else:
             condition = _same(lookup.keys, lookup.probe(n))
             result = result.join(F.broadcast(lookup.slim(n)), condition, how)
-        else:
-            result = _spread_join(result, rows, lookup, n, how)
         result = result.drop(*lookup.probe(n))
     new = [name for lookup in lookups for name in lookup.take] if how == "left" else []
     return result.select(*rows.columns, *new)

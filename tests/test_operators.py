@@ -1,4 +1,5 @@
 from decimal import Decimal
+from math import ceil
 
 import pytest
 from pyspark.sql import Window
@@ -157,6 +158,39 @@ def test_hot_keys_are_counted_over_all_rows(skewed):
     assert {row["key"] for row in hot} == expected
 
 
+def test_hot_keys_of_all_lookups_equal_plain_counts(skewed):
+    keys = [["k"], ["t", "k"], ["t"], ["k", "t"], ["k"]]
+    names = [[f"__hot_{n}" for n in range(len(key))] for key in keys]
+    found = lookup._all_hot_keys(skewed, keys, names, "copies", 40)
+    total = skewed.count()
+    for key, named, hot in zip(keys, names, found, strict=True):
+        assert hot.columns == [*named, "copies"]
+        counts = skewed.dropna(subset=key).groupBy(*key).count().collect()
+        expected = [
+            (*(row[c] for c in key), ceil(row["count"] / total * 40 * lookup._FINER))
+            for row in counts
+            if row["count"] * 40 > total
+        ]
+        assert expected
+        assert sorted(map(tuple, hot.collect())) == sorted(expected)
+
+
+def test_no_rows_have_no_hot_keys(skewed):
+    names = [["a"], ["a", "b"]]
+    found = lookup._all_hot_keys(skewed.where("k = -5"), [["k"], ["k", "t"]], names, "copies", 8)
+    assert [hot.count() for hot in found] == [0, 0]
+
+
+def test_large_lookups_count_their_keys_in_one_pass(skewed, members, monkeypatch):
+    stored = []
+    monkeypatch.setattr(lookup, "store", lambda df, path: stored.append(path) or store(df, path))
+    named = [Lookup(members, {"k": "m"}, {"a": "name"}), Lookup(members, {"t": "name"}, {"b": "m"})]
+    resolve(skewed, named, broadcast_bytes=0)
+    assert len(stored) == 1
+    resolve(skewed, named)
+    assert len(stored) == 1
+
+
 def test_nested_columns_are_larger_than_any_limit(spark):
     plain = spark.range(10).selectExpr("id", "'x' AS name")
     nested = plain.selectExpr("id", "array_repeat(name, 100000) AS names")
