@@ -269,6 +269,7 @@ def build() -> dict[str, str]:
     return plain | {name: plain[other] for name, other in same.items()} | {
         "sql_view_columns": _star(_columns(views)),
         "published_columns": _star(_columns(published)),
+        "saved_columns": _star(_columns(published)),
         "dq_sentinel_unordered": _exp(
             """SELECT least(count(*), 10) AS rows_shown, least(count(*), 10) AS rows_that_fit
                FROM exp WHERE expense_id = -1"""

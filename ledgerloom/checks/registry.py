@@ -30,7 +30,7 @@ from ledgerloom.sources.layouts import (
     EXPENSES,
     MISSING_EXPENSE_ID,
 )
-from ledgerloom.sources.tables import fresh_folder, list_tables
+from ledgerloom.sources.tables import create_database, fresh_folder, list_tables
 
 # Values looked up by the point look-up and the drill-down.
 LOOKED_UP_EXPENSE = 1102
@@ -471,6 +471,21 @@ def published_columns(w: Warehouse) -> DataFrame:
     )
 
 
+@on_warehouse
+def saved_columns(w: Warehouse) -> DataFrame:
+    """The same for the six tables saved a second time under their Portuguese names."""
+    database = f"{w.database}_saved"
+    create_database(w.spark, database, f"{w.folder}/{database}")
+    names = dict(zip(w.save_tables(database), GOLD, strict=True))
+    return _filled(
+        w.spark,
+        {
+            table: [COLUMNS.get(column, column) for column in getattr(w, name).columns]
+            for table, name in names.items()
+        },
+    )
+
+
 def _sql_on_views(text: str) -> Callable[[Warehouse], DataFrame]:
     def run(w: Warehouse) -> DataFrame:
         w.register_views()

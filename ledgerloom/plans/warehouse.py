@@ -16,6 +16,7 @@ from ledgerloom.sources.layouts import CANDIDATES, ELECTORATE, EXPENSES, Layout
 from ledgerloom.sources.tables import (
     create_database,
     register_view,
+    save_copy,
     save_table,
     save_view,
     store,
@@ -148,6 +149,17 @@ class Warehouse:
             register_view(getattr(self, name), view, COLUMNS)
         return list(VIEWS.values())
 
+    def save_tables(self, database: str = "default") -> list[str]:
+        """The saved tables once more, as managed tables under their Portuguese names.
+
+        They can be overwritten, appended to or dropped without touching those of the load.
+        Saving again replaces them, and views that :meth:`publish` left there.
+        """
+        saved = self.gold()
+        for name, rows in saved.items():
+            save_copy(rows.withColumnsRenamed(COLUMNS), database, VIEWS[name])
+        return [f"`{database}`.`{VIEWS[name]}`" for name in saved]
+
     def publish(self, database: str = "default") -> list[str]:
         """The saved tables as catalog views under their Portuguese names, without a second copy."""
         views = []

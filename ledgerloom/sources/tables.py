@@ -92,6 +92,15 @@ def save_table(df: DataFrame, database: str, table: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def save_copy(df: DataFrame, database: str, table: str) -> DataFrame:
+    """A table of its own in a database that is already there; a view of that name gives way."""
+    catalog = df.sparkSession.catalog
+    name = f"`{database}`.`{table}`"
+    if catalog.tableExists(name) and catalog.getTable(name).tableType == "VIEW":
+        df.sparkSession.sql(f"DROP VIEW {name}")
+    return save_table(df, database, table)
+
+
 def save_view(spark: SparkSession, source: str, view: str, columns: Mapping[str, str]) -> None:
     """A catalog view of the table ``source`` with other column names (``{ours: shown}``)."""
     shown = ", ".join(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.checks import registry
 from ledgerloom.plans import marts, questions, star
+from ledgerloom.plans.names import COLUMNS
 from ledgerloom.plans.warehouse import Warehouse
-from ledgerloom.sources.tables import fresh_folder, shared_folder
+from ledgerloom.sources.tables import create_database, fresh_folder, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -154,6 +155,22 @@ def test_published_tables_are_listed(spark, load):
     assert spark.sql("SELECT COUNT(ID_DESPESA) FROM default.fact_despesa").first()[0] == 9
 
 
+def test_saved_tables_are_tables_of_their_own(spark, load):
+    create_database(spark, "shown", f"{load.folder}/shown")
+    load.publish("shown")
+    for _ in range(2):
+        names = load.save_tables("shown")
+        assert len(names) == 6
+        assert {spark.catalog.getTable(n).tableType for n in names} == {"MANAGED"}
+    fact = spark.table("shown.fact_despesa")
+    assert fact.columns == [COLUMNS.get(c, c) for c in load.fact_expense.columns]
+    assert sorted(rows(fact), key=repr) == sorted(rows(load.fact_expense), key=repr)
+    spark.sql("DROP TABLE shown.fact_despesa")
+    fact = load.spark.table(f"`{load.database}`.fact_expense")
+    assert fact.count() == load.fact_expense.count() == 9
+    spark.sql("DROP DATABASE shown CASCADE")
+
+
 def test_repeated_candidate_is_refused(spark, load):
     twice = load.silver_candidates.unionByName(load.silver_candidates.where("candidate_id = 10"))
     unknown = load.silver_candidates.withColumn("candidate_id", F.lit(-1).cast("bigint")).limit(1)
