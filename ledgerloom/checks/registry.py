@@ -429,17 +429,16 @@ def registered_views(w: Warehouse) -> DataFrame:
 def _filled(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
     """SQL that reads every column of the named relations: how many values each has, and how many differ."""
 
-    def profile(relation: str, own: list[str]) -> str:
+    def profile(relation: str, column: str) -> str:
         name = relation.rsplit(".", 1)[-1].strip("`")
-        # All counts of a relation in one aggregate, so it is read once; a row for each column after that.
-        counts = ", ".join(f"COUNT({c}) AS filled_{k}, COUNT(DISTINCT {c}) AS differing_{k}" for k, c in enumerate(own))
-        rows = ", ".join(f"'{c}', filled_{k}, differing_{k}" for k, c in enumerate(own))
+        # One distinct count an aggregate: it groups by that column alone and reads no other. Several in one
+        # copy every row once a column, each copy with all columns as its key.
         return (
-            f"SELECT '{name}' AS view_name, stack({len(own)}, {rows}) AS (column_name, filled, differing) "
-            f"FROM (SELECT {counts} FROM {relation})"
+            f"SELECT '{name}' AS view_name, '{column}' AS column_name, COUNT({column}) AS filled, "
+            f"COUNT(DISTINCT {column}) AS differing FROM {relation}"
         )
 
-    return spark.sql(" UNION ALL ".join(profile(relation, own) for relation, own in columns.items()))
+    return spark.sql(" UNION ALL ".join(profile(relation, c) for relation, own in columns.items() for c in own))
 
 
 @on_warehouse

@@ -91,6 +91,16 @@ def executed(df):
     return text[text.index("Final Plan") : text.index("Initial Plan")]
 
 
+def test_every_column_of_a_view_is_counted_without_copies_of_its_rows(spark, plan):
+    rows = spark.createDataFrame([(1, "x"), (1, None), (2, "x"), (None, None)], "a int, b string")
+    store(rows, fresh_folder(spark, "columns")).createOrReplaceTempView("two_columns")
+    found = registry._filled(spark, {"two_columns": ["a", "b"]})
+    text = plan(found)
+    assert "Expand" not in text
+    assert read_columns(text) == [{"a"}, {"b"}]
+    assert sorted(map(tuple, found.collect())) == [("two_columns", "a", 3, 2), ("two_columns", "b", 2, 1)]
+
+
 def test_unordered_previews_stop_reading(w, plan):
     show = ["expense_id", "detail"]
     text = plan(quality.sample_with_value(w.silver_expenses, "expense_id", -1, show, 10))
