@@ -71,6 +71,13 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, widths)
 
 
+def _added_bytes(lookup: Lookup) -> int:
+    """About what a lookup adds to a row: a number takes half the width, a text more than that."""
+    taken = lookup.members.select(*lookup.take.values()).schema
+    narrow = (T.NumericType, T.DateType, T.BooleanType)
+    return sum(_FIXED_WIDTH // 2 if isinstance(f.dataType, narrow) else 2 * _FIXED_WIDTH for f in taken)
+
+
 def _nested(df: DataFrame) -> bool:
     return any(
         not isinstance(f.dataType, T.AtomicType) or isinstance(f.dataType, T.VariantType)
@@ -193,9 +200,9 @@ def _join_all(
     names = [[f"__hot_{n}" for n in range(len(lookups[n].keys))] for n in large]
     keys = [lookups[n].keys for n in large]
     hot = dict(zip(large, _all_hot_keys(rows, keys, names, "__copies", parts))) if large else {}
-    # Shuffled lookups come first, while the rows are narrow; what the broadcast
-    # ones add is then never shuffled.
-    for n in sorted(range(len(lookups)), key=lambda n: n not in hot):
+    # Shuffled lookups come first, while the rows are narrow, and of those the one that
+    # widens them most comes last; what the broadcast ones add is then never shuffled.
+    for n in sorted(range(len(lookups)), key=lambda n: (n not in hot, _added_bytes(lookups[n]))):
         lookup = lookups[n]
         if n in hot:
             result = _spread_join(result, hot[n], lookup, n, parts, how)

@@ -62,6 +62,24 @@ def test_large_dimensions_are_not_broadcast(spark, w, plan):
     assert text.count("BroadcastHashJoin") == 8
 
 
+def test_the_shuffled_lookup_that_widens_rows_most_comes_last(spark, plan):
+    folder = fresh_folder(spark, "wide")
+    rows = store(spark.range(100).selectExpr("id AS a", "id % 7 AS b"), f"{folder}/rows")
+    members = spark.range(50).selectExpr("id AS m", "string(id) AS name", "id * 2 AS twice")
+    lookups = [Lookup(members, {"a": "m"}, {"name": "name"}), Lookup(members, {"b": "m"}, {"twice": "twice"})]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = resolve(rows, lookups, broadcast_bytes=0)
+        last, first = re.findall(r"SortMergeJoin \[(\w)#", plan(found))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert (first, last) == ("b", "a")
+    assert found.columns == ["a", "b", "name", "twice"]
+    expected = [(n, n % 7, str(n) if n < 50 else None, n % 7 * 2) for n in range(100)]
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 @pytest.fixture(scope="module")
 def compressible(spark):
     """Members of 20 MB that are some hundred KB as files, far below Spark's own threshold."""
