@@ -1,8 +1,8 @@
 """Queries over the bundled test tables, one per operator or dataflow.
 
-Text extracts are written from the test tables once per session and data
-folder, and a :class:`Warehouse` is loaded from them; a query then reads the
-tables it needs, which are built on first use.
+A :class:`Warehouse` is loaded once per session and data folder from text
+extracts; a query reads the tables it needs, which are built on first use,
+and so are the extracts, written from the test tables.
 """
 
 from __future__ import annotations

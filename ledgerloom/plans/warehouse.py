@@ -34,7 +34,8 @@ class Warehouse:
     so the text is parsed once and no step repeats the work of another.
 
     ``extracts`` gives the path of each extract under the names ``candidates``,
-    ``expenses`` and ``electorate``. ``folder`` must be reachable by all executors.
+    ``expenses`` and ``electorate``; a path is asked for when its extract is read. ``folder``
+    must be reachable by all executors.
     ``broadcast_bytes`` is the size up to which a dimension is sent to every
     executor; larger ones are joined by shuffle.
     """
@@ -49,7 +50,7 @@ class Warehouse:
         broadcast_bytes: int = BROADCAST_BYTES,
     ):
         self.spark = spark
-        self.extracts = dict(extracts)
+        self.extracts = extracts
         self.folder = folder.rstrip("/")
         self.database = database
         self.broadcast_bytes = broadcast_bytes

@@ -22,12 +22,15 @@ voters of that nation belong to a state without expenses.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import amount_text_ptbr
 from ledgerloom.functions.dates import DMY
 from ledgerloom.functions.money import AMOUNT_TYPE
+from ledgerloom.operators.lookup import broadcast_if_small
 from ledgerloom.sources.delimited import write_delimited
 from ledgerloom.sources.layouts import (
     CANDIDATES,
@@ -58,11 +61,18 @@ def _in_layout(df: DataFrame, layout: Layout, columns: dict[str, Column]) -> Dat
 
 
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
+    suppliers = (
+        table(spark, sf_dir, "supplier")
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .select("s_suppkey", "n_name")
+    )
+    # Measured, so that lines are shuffled only for a table that is really large. Parts are the
+    # larger ones: joined first, while the lines are narrow.
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(broadcast_if_small(parts), F.col("l_partkey") == F.col("p_partkey"))
+        .join(broadcast_if_small(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     quantity = F.col("l_quantity")
     sentinel = quantity == 50
@@ -145,14 +155,34 @@ def electorate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
-    """Write the extracts as text files and return their paths."""
-    paths = {}
-    for layout, make in (
-        (CANDIDATES, candidates),
-        (EXPENSES, expenses),
-        (ELECTORATE, electorate),
-    ):
-        paths[layout.name] = f"{folder}/extracts/{layout.name}"
-        write_delimited(make(spark, sf_dir), paths[layout.name])
-    return paths
+class Landed(Mapping[str, str]):
+    """Paths of the extracts by name; each is written as text when its path is first asked for."""
+
+    _MAKE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+        CANDIDATES.name: candidates,
+        EXPENSES.name: expenses,
+        ELECTORATE.name: electorate,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
+        self._spark, self._sf_dir, self._folder = spark, sf_dir, folder
+        self._written: dict[str, str] = {}
+
+    def __getitem__(self, name: str) -> str:
+        if name not in self._written:
+            rows = self._MAKE[name](self._spark, self._sf_dir)
+            path = f"{self._folder}/extracts/{name}"
+            write_delimited(rows, path)
+            self._written[name] = path
+        return self._written[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._MAKE)
+
+    def __len__(self) -> int:
+        return len(self._MAKE)
+
+
+def land(spark: SparkSession, sf_dir: str, folder: str) -> Mapping[str, str]:
+    """The paths of the extracts as text files; a table nobody reads is not written."""
+    return Landed(spark, sf_dir, folder)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.sources import sample
 from ledgerloom.sources.delimited import read_delimited, write_delimited
 from ledgerloom.sources.literals import with_member
 from ledgerloom.sources.tables import (
@@ -50,6 +51,66 @@ def test_what_is_written_reads_back_or_is_refused(spark, tmp_path, value, encodi
         assert rows(read_delimited(spark, path, encoding=encoding)) == [("x", "1", value), ("y", "2", None)]
 
 
+@pytest.mark.parametrize(("encoding", "last"), [("ISO-8859-1", 0xFF), ("US-ASCII", 0x7F)])
+def test_the_last_character_of_an_encoding_is_written_and_the_next_refused(spark, tmp_path, encoding, last):
+    held = spark.createDataFrame([("x", f"\tA{chr(last)}")], "A string, B string")
+    write_delimited(held, str(tmp_path / "held"), encoding=encoding)
+    assert rows(read_delimited(spark, str(tmp_path / "held"), encoding=encoding)) == [("x", f"\tA{chr(last)}")]
+    for beyond in (chr(last + 1), "\U0001f600", "\U0010ffff"):
+        lost = spark.createDataFrame([("x", f"A{beyond}")], "A string, B string")
+        with pytest.raises(Exception, match="column B: "):
+            write_delimited(lost, str(tmp_path / "lost"), encoding=encoding)
+
+
+@pytest.fixture
+def bundled(spark, tmp_path):
+    """Some of the tables that the extracts are made from; no order lines."""
+    tables = {
+        "nation": ("n_nationkey long, n_name string, n_regionkey long", [(1, "NATION_1", 1)]),
+        "customer": (
+            "c_custkey long, c_nationkey long, c_acctbal double, c_mktsegment string",
+            [(1, 1, 250.5, "S"), (2, 1, -3.0, None)],
+        ),
+        "supplier": ("s_suppkey long, s_nationkey long", [(5, 1)]),
+        "part": ("p_partkey long, p_type string, p_name string", [(7, "T", "P"), (8, "T", None)]),
+    }
+    for name, (schema, values) in tables.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_an_extract_is_written_when_it_is_asked_for(spark, bundled, tmp_path):
+    # There are no order lines, so the expenses could not be written.
+    extracts = sample.land(spark, bundled, f"{tmp_path}/landed")
+    assert sorted(extracts) == ["candidates", "electorate", "expenses"]
+    assert not (tmp_path / "landed").exists()
+    assert read_delimited(spark, extracts["electorate"]).count() == 2
+    assert [p.name for p in (tmp_path / "landed" / "extracts").iterdir()] == ["electorate"]
+    written = (tmp_path / "landed" / "extracts" / "electorate").stat().st_mtime_ns
+    assert extracts["electorate"].endswith("/electorate")
+    assert (tmp_path / "landed" / "extracts" / "electorate").stat().st_mtime_ns == written
+
+
+def test_lines_are_not_shuffled_for_small_tables(spark, bundled, plan):
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, "
+        "l_extendedprice double, l_tax double, l_shipdate timestamp_ntz"
+    )
+    lines = [(1, 7, 5, 9.0, 12.5, 0.0, None), (2, 8, 5, 9.0, 1.0, 0.0, None), (3, 9, 5, 9.0, 1.0, 0.0, None)]
+    spark.createDataFrame(lines, schema).write.parquet(f"{bundled}/lineitem.parquet")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sample.expenses(spark, bundled)
+        text = plan(found)
+        rows = sorted((r["SQ_DESPESA"], r["DS_DESPESA"], r["SG_UF"]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Merged are only suppliers with their nations.
+    assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 2
+    assert rows == [("1", "P", " nation_1 "), ("2", None, " nation_1 ")]
+
+
 def test_an_encoding_that_is_not_known_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="EBCDIC"):
         write_delimited(spark.range(1), str(tmp_path / "out"), encoding="EBCDIC")
